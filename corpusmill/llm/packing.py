@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, over_batches, tokenizer_path
+from .wordids import WordIds
 
 CAPACITY, END = 4096, 1
-#: Words that a worker remembers with their ids before it starts anew.
-REMEMBER = 1_000_000
 #: Lengths count as multiples of GRAIN in the programme; rounds of multiplicative weights and their step.
 GRAIN, ROUNDS, STEP = 32, 2000, 0.3
 
@@ -35,11 +35,11 @@ GRAIN, ROUNDS, STEP = 32, 2000, 0.3
 # --- tokens ----------------------------------------------------------------------------------------------------
 
 
-class WordCache:
-    """Ids of whole texts from the ids of their words; a word is what stands between spaces and line feeds.
+class WordCache(WordIds):
+    """A word is what stands between spaces and line feeds: the tokenizer never joins characters over white space.
 
-    The tokenizer never joins characters over white space, so a text's ids are those of its words in order. A word of
-    letters with ASCII punctuation after it is taken as its letters and its punctuation, which the tokenizer splits too.
+    A word of letters with ASCII punctuation after it is taken as its letters and its punctuation, which the
+    tokenizer splits too.
     """
 
     def __init__(self, name: str):
@@ -47,30 +47,10 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.forget()
-
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.n_flat = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-
-    def _append(self, words: list[str], ids: list) -> None:
-        base = len(self.index)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
-        while base + len(words) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
-        while self.n_flat + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        at = slice(base, base + len(words))
-        self.size[at] = sizes
-        self.start[at] = self.n_flat + np.cumsum(sizes) - sizes
-        self.flat[self.n_flat : self.n_flat + total] = np.concatenate([np.asarray(x, np.uint32) for x in ids]) if total else []
-        self.n_flat += total
-        self.index.update(zip(words, range(base, base + len(words))))
-
-    def _encode(self, words: list[str]) -> None:
-        self._append(words, [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        super().__init__()
+
+    def split(self, text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
 
     def learn(self, new: set[str]) -> None:
         plain, split = [], []
@@ -81,37 +61,18 @@ class WordCache:
                 split.append((w, low, w[len(body) :]))
             else:
                 plain.append(w)
-        parts = {x for _, b, t in split for x in (b, t)}
         known = set(plain)
-        missing = [x for x in parts if x not in self.index and x not in known]
-        if plain or missing:
-            self._encode(plain + missing)
+        plain += [x for x in {x for _, b, t in split for x in (b, t)} if x not in self.index and x not in known]
+        if plain:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.append(plain, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
         if split:
-            flat, start, size, at = self.flat, self.start, self.size, self.index
-            ids = []
-            for _, b, t in split:
-                i, j = at[b], at[t]
-                x = flat[start[i] : start[i] + size[i]]
-                ids.append(np.concatenate([x, flat[start[j] : start[j] + size[j]]]) if t else x)
-            self._append([w for w, _, _ in split], ids)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, where each text's ids begin)."""
-        if len(self.index) > REMEMBER:
-            self.forget()
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*words) - self.index.keys() if words else set()
-        if new:
-            self.learn(new)
-        index = self.index
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((index[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-        size, start = self.size[at], self.start[at]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(start - (ends - size), size)]
-        offs = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, offs
+            at = np.array([(self.index[b], self.index[t]) for _, b, t in split]).ravel()
+            size, start = self.size[at], self.start[at]
+            ends = np.cumsum(size)
+            flat = self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)]
+            self.append([w for w, _, _ in split], size.reshape(-1, 2).sum(1), flat)
 
 
 _CACHES: dict[str, WordCache] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
+from . import codec, langid, packing, simhash
 from .common import table
 
 
@@ -16,6 +16,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = langid.identify(docs, langid.fit(docs))
+    return made.select("doc_id", (langid.bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
