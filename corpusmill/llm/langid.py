@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -134,7 +135,7 @@ class Scorer:
         out = np.zeros((len(texts), len(self.model.languages)))
         counts = np.fromiter(map(len, words), np.int64, len(words))
         index = self.index
-        at = np.fromiter((index[w] for ws in words for w in ws), np.int64, int(counts.sum()))
+        at = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         some = np.flatnonzero(counts)
         if len(some):
             starts = (np.cumsum(counts) - counts)[some]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codec, langid, packing, simhash
+from . import codec, langid, packing, simhash, toxicity
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return made.select("doc_id", (toxicity.bucket("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     made = langid.identify(docs, langid.fit(docs))
