@@ -47,6 +47,9 @@ class WordCache(WordIds):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         super().__init__()
 
     def split(self, text: str) -> list[str]:
@@ -61,12 +64,11 @@ class WordCache(WordIds):
                 split.append((w, low, w[len(body) :]))
             else:
                 plain.append(w)
-        known = set(plain)
-        plain += [x for x in {x for _, b, t in split for x in (b, t)} if x not in self.index and x not in known]
-        if plain:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.append(plain, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+        letters = {b for _, b, _ in split} - self.index.keys()
+        letters.update(w for w in plain if w.isalpha())
+        odd = ({t for _, _, t in split} - self.index.keys()).union(w for w in plain if not w.isalpha())
+        self._letters(list(letters))
+        self._others(list(odd))
         if split:
             at = np.array([(self.index[b], self.index[t]) for _, b, t in split]).ravel()
             size, start = self.size[at], self.start[at]
@@ -75,6 +77,25 @@ class WordCache(WordIds):
             self.append([w for w, _, _ in split], size.reshape(-1, 2).sum(1), flat)
 
 
+    def _letters(self, words: list[str]) -> None:
+        """Words of letters are single words to the tokenizer too, so many are encoded as one text and cut at the ends of words."""
+        if not words:
+            return
+        runs = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+        last = np.flatnonzero(self.closes[flat])
+        if len(last) == len(words):
+            self.append(words, np.diff(last, prepend=-1), flat)
+        else:
+            self._others(words)
+
+    def _others(self, words: list[str]) -> None:
+        if words:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.append(words, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+
+
 _CACHES: dict[str, WordCache] = {}
 
 
@@ -285,7 +306,7 @@ def plan(hist: dict[int, int], capacity: int = CAPACITY, grain: int = GRAIN, rou
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN, rounds: int = ROUNDS, step: float = STEP, parts: int | None = None) -> DataFrame:
-    """pieces with sequence_id and offset; pieces has doc_id, piece, length and is computed twice unless it is cut.
+    """pieces with sequence_id and offset; pieces has doc_id, piece, length and is computed twice (for the bounds of the ranges too) unless it is cut.
 
     Pieces of a length are ranked over a range partitioning by (length, doc_id, piece, ...), so that a length that a
     third of the pieces share spreads over tasks; the numbers of rows by partition and length (one row for each
@@ -338,4 +359,4 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capaci
 
     A null or empty text has the end token alone. Repeated rows are packed each for itself; null ids are allowed.
     """
-    return pack(token_pieces(docs, tokenizer, capacity), capacity)
+    return pack(cut(token_pieces(docs, tokenizer, capacity)), capacity)
