@@ -1,0 +1,52 @@
+"""Secret scans against the plain patterns, and the models on other samples."""
+
+import hashlib
+import random
+import re
+
+from corpusmill.llm import secrets as S
+from corpusmill.llm.common import table
+
+
+def plain(text):
+    out = []
+    letters = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+    words = "|".join([*map(letters, ("password", "passwd", "secret", "token")), letters("api") + "_?" + letters("key")])
+    for k, (pattern, ok) in enumerate((
+        (f"({words})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 8),
+        ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
+        ("[0-9a-f]+", lambda m: len(m[0]) >= 32),
+    )):
+        out += [(m.start(), k, m.end()) for m in re.finditer(pattern, text) if ok(m)]
+    return sorted(out)
+
+
+ODD = [None, "", "ſecret=abcdefgh1 toKen=abcdefgh2 paſſword=abcdefgh", "API_KEY: 'x9.y8-z7=w' token==abcdefgh token = short", "AKIAAKIAABCDEFGH AKIA1234 xAKIA0123456789ABCD", "é" * 5 + "0123456789abcdef" * 2 + "0", "a" * 200_000, "token" + " " * 50_000, "password : \"hunter2hunter2\""]
+
+
+def test_base_spans_match_the_patterns(spark, sf_dir):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(100 + r.doc_id, r.text) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()] + [(None, "token=12345678")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as spans")
+    got = S.scan(df).collect()
+    assert len(got) == len(rows)
+    for (i, t), r in zip(rows, got):
+        base = plain(t or "")
+        assert r.doc_id == i and r.base_sha256 == hashlib.sha256(S.joined(base).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == j for _, k, _ in base) for j in range(3)]
+        assert set(filter(None, S.joined(base).split(","))) <= set(r.spans.split(","))
+    assert S.scan(df.limit(0)).count() == 0
+
+
+def test_models_tell_random_from_ordinary():
+    model = S.default_model()
+    rng = random.Random(99)
+    words = "customer order payment request handler build release window search engine network".split()
+    assert sum(model.score(S.random_sample(rng)) > model.threshold for _ in range(2000)) >= 1800
+    assert sum(model.score(S.ordinary_sample(rng, words)) > model.threshold for _ in range(2000)) <= 10
+
+
+def test_ordinary_text_has_no_random_spans(spark, sf_dir):
+    got = S.scan(table(spark, sf_dir, "documents")).agg({"n_random": "sum"}).first()[0]
+    assert got <= 2
+    r = S.scan(spark.createDataFrame([(1, "see dGhpcyBpc1Bhc3NX9kQ2b2xkLXcwcmxkIQ7zXyA4 here")], "doc_id long, text string")).first()
+    assert r.spans == "random:4:44"
