@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces as P
-from .common import over_batches, tokenizer_path
+from .common import over_batches, sole, tokenizer_path
 from .wordids import WordIds
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -118,9 +117,8 @@ class Codec(WordIds):
         return [raw[a + 1 : b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-@lru_cache(maxsize=2)
 def codec(vocabulary: str = VOCABULARY) -> Codec:
-    return Codec(vocabulary)
+    return sole(("codec", vocabulary), lambda: Codec(vocabulary))
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -89,3 +89,17 @@ def share(seed: str, limit: float, total: int, *cols: str):
     parts = 1 << 30
     keep = parts if total <= limit else int(parts * limit / total)
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(parts)) < keep
+
+
+_HELD: dict = {}
+
+
+def sole(key: object, make: Callable[[], object]) -> object:
+    """What make() gives for a key, kept in this process until another key is asked for.
+
+    Python workers outlive their tasks; so the memory of one operator goes when the next one starts.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces as P
-from .common import blocks, share
+from .common import blocks, share, sole
 
 #: Documents that a language's model is learned from, about; words kept of all languages together.
 SAMPLE_DOCS, SAMPLE_WORDS = 3_000, 40_000
@@ -28,7 +28,7 @@ SAMPLE_DOCS, SAMPLE_WORDS = 3_000, 40_000
 ROUNDS, PRIOR, UNKNOWN = 3, 0.02, 1e-7
 #: Letters of a longer word are scored in parts of this length.
 LONGEST = 64
-REMEMBER = 1_000_000
+REMEMBER = 600_000
 UND = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -144,9 +144,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = None, id_col: str = "doc_id") -> DataFrame:
     """carry (doc_id alone if not given), lang_pred and score for every document.
 
@@ -163,15 +160,13 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = Non
 
     def run(batches):
         model = held.value
-        if model is not None and model.uid not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[model.uid] = Scorer(model)
+        scorer = sole(("langid", model.uid), lambda: Scorer(model)) if model is not None else None
         for batch in batches:
             for part in blocks(batch, "__text"):
                 texts = part.column(len(names) - 1).to_pylist()
                 pred, score = [UND] * len(texts), np.zeros(len(texts))
                 if model is not None and texts:
-                    ll = _SCORERS[model.uid](texts)
+                    ll = scorer(texts)
                     best = ll.argmax(1)
                     score = 1 / np.exp(ll - ll.max(1, keepdims=True)).sum(1)
                     pred = [model.languages[b] if has_letter(t) else UND for b, t in zip(best.tolist(), texts)]

@@ -21,10 +21,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, over_batches, tokenizer_path
+from .common import cut, over_batches, sole, tokenizer_path
 from .wordids import WordIds
 
 CAPACITY, END = 4096, 1
@@ -52,8 +53,18 @@ class WordCache(WordIds):
         self.closes[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         super().__init__()
 
-    def split(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def places(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Arrow splits the texts and numbers their words, so only distinct words become Python strings."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        if new := set(distinct) - self.index.keys():
+            self.learn(new)
+        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        return at[numbered.indices.to_numpy(zero_copy_only=False)], counts
 
     def learn(self, new: set[str]) -> None:
         plain, split = [], []
@@ -96,13 +107,8 @@ class WordCache(WordIds):
             self.append(words, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
 
 
-_CACHES: dict[str, WordCache] = {}
-
-
 def word_cache(name: str) -> WordCache:
-    if name not in _CACHES:
-        _CACHES[name] = WordCache(name)
-    return _CACHES[name]
+    return sole(("packing", name), lambda: WordCache(name))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -111,7 +117,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(cols, n):
-        ids, offs = word_cache(tokenizer).encode(cols["text"].to_pylist())
+        ids, offs = word_cache(tokenizer).encode(cols["text"])
         tail = np.uint32(end).astype("<u4").tobytes()
         raw, rows = memoryview(ids.astype("<u4", copy=False).tobytes()), []
         for i in range(n):

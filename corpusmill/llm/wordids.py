@@ -7,7 +7,7 @@ from itertools import chain
 import numpy as np
 
 #: Words that a worker remembers before it starts anew.
-REMEMBER = 1_000_000
+REMEMBER = 600_000
 
 
 class WordIds:
@@ -42,17 +42,20 @@ class WordIds:
         self.n_flat += total
         self.index.update(zip(words, range(base, base + len(words))))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, where each text's ids begin, with the end of the last)."""
-        if len(self.index) > REMEMBER:
-            self.forget()
+    def places(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the memory of each word of all texts, how many words each text has); new words are learned."""
         words = [self.split(t) for t in texts]
         new = set().union(*words) - self.index.keys() if words else set()
         if new:
             self.learn(new)
-        index = self.index
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        return np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum())), counts
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's ids begin, with the end of the last)."""
+        if len(self.index) > REMEMBER:
+            self.forget()
+        at, counts = self.places(texts)
         size, start = self.size[at], self.start[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
