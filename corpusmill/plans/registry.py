@@ -26,6 +26,11 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def _load() -> None:
     """Imports the modules that register queries."""
+    from . import conversations, documents, literals, pages, tables  # noqa: F401
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def queries() -> dict[str, Query]:
