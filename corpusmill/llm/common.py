@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker handles at once, whatever the size of the Arrow batch.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,5 +104,9 @@ def sole(key: object, make: Callable[[], object]) -> object:
     """
     if key not in _HELD:
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)  # glibc keeps freed memory otherwise
         _HELD[key] = make()
     return _HELD[key]

@@ -28,7 +28,7 @@ SAMPLE_DOCS, SAMPLE_WORDS = 3_000, 40_000
 ROUNDS, PRIOR, UNKNOWN = 3, 0.02, 1e-7
 #: Letters of a longer word are scored in parts of this length.
 LONGEST = 64
-REMEMBER = 600_000
+REMEMBER = 250_000
 UND = "und"
 WORD = re.compile(r"[^\W\d_]+")
 

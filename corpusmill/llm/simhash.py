@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, over_batches
+from .common import cut, over_batches, sole
 
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 SEED, BITS, STRIDE = 42, 64, 200_000
@@ -133,6 +133,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(cols, n):
+        sole("simhash", lambda: None)
         return {"doc_id": cols["doc_id"], "fp": fingerprints(cols["text"].to_pylist()).view(np.int64)}
 
     return over_batches(df, run, pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]), "doc_id long, fp long")

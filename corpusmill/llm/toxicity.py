@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, share
+from .common import blocks, share, sole
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 #: Labelled documents that the model is learned from, about.
@@ -187,6 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n = N_FEATURES
 
     def run(batches):
+        sole("toxicity", lambda: None)
         keys = frozenset(held.value) | frozenset(THREATS)
         for batch in batches:
             for part in blocks(batch, "text"):
@@ -227,7 +228,7 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Data
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model = held.value
+        model = sole(("toxicity", held.value.uid), lambda: held.value)
         keys = frozenset(model.insults) | frozenset(THREATS)
         for batch in batches:
             for part in blocks(batch, "__text"):
