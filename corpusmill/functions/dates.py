@@ -55,7 +55,7 @@ def parsed(c: Column | str, months: str = RUSSIAN_MONTHS, default: str = "2024-0
         return s.map(one)
 
     t = squeeze(c)
-    return F.when(t == "", F.lit(None)).otherwise(F.coalesce(iso(c), lenient(localised(t, months))))
+    return F.when(t == "", F.lit(None)).otherwise(F.coalesce(iso(c), lenient(F.when(iso(c).isNull(), localised(t, months)))))
 
 
 def clock(c: Column | str) -> Column:

@@ -79,9 +79,10 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column | str) -> Column:
-    """NFKC form; ASCII and Latin-1 letters are in it already and don't leave the JVM."""
+    """NFKC form. Texts of ASCII and Latin-1 letters are in it already; Python sees a null for them, and no text crosses over."""
     c = col(c)
-    return F.when(c.rlike(r"[^\x{00}-\x{9F}\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}-\x{B1}\x{B6}-\x{B7}\x{BB}\x{BF}-\x{131}]"), _nfkc(c)).otherwise(c)
+    other = c.rlike(r"[^\x{00}-\x{9F}\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}-\x{B1}\x{B6}-\x{B7}\x{BB}\x{BF}-\x{131}]")
+    return F.coalesce(_nfkc(F.when(other, c)), c)
 
 
 def normal_form(c: Column | str, unicode_form: bool = True) -> Column:

@@ -46,13 +46,16 @@ def without_fragment(url: Column | str) -> Column:
 
 @F.pandas_udf(StringType())
 def _join(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([urldefrag(urljoin(b or "", h))[0] for b, h in zip(base, href)])
+    return pd.Series([None if h is None else urldefrag(urljoin(b or "", h))[0] for b, h in zip(base, href)], dtype=object)
 
 
 def absolute(base: Column | str, href: Column | str) -> Column:
     """href seen from base, without its fragment; null where it is empty or leads to no page. Only relative links need Python."""
     h = F.trim(col(href))
-    return F.when(h.isNull() | (h == "") | h.rlike("^(javascript:|mailto:|tel:|#)"), F.lit(None)).when(h.rlike("^https?://[^/]+/[^.]*$"), without_fragment(h)).otherwise(_join(col(base), h))
+    none = h.isNull() | (h == "") | h.rlike("^(javascript:|mailto:|tel:|#)")
+    whole = h.rlike("^https?://[^/]+/[^.]*$")
+    joined = _join(F.when(~none & ~whole, col(base)), F.when(~none & ~whole, h))  # Python sees nulls for the others
+    return F.when(none, F.lit(None)).when(whole, without_fragment(h)).otherwise(joined)
 
 
 def year_month(url: Column | str) -> Column:

@@ -232,3 +232,17 @@ def ordered_distinct(spark, sf_dir):
 def nfkc_normal_form(spark, sf_dir):
     rows = frame(spark, values("i t", (1, "Ｈｅｌｌｏ,  World!\n"), (2, "ﬁ ①"), (3, "Plain, text."), (4, None)))
     return rows.select("i", X.normal_form("t").alias("form"))
+
+
+BYLINES = values(
+    "i html byline place",
+    (1, '<body><span class="byline">Ali Vali</span><p>x</p></body>', "Ali Vali", "css:.byline"), (2, "<body><p>Long text.</p><p>Автор: Иван Петров</p></body>", "Автор: Иван Петров", "regex:0"),
+    (3, "<body><p>Редакция</p></body>", "Редакция", "regex:11"), (4, "<body><p>no name here</p></body>", None, None), (5, None, None, None), (6, '<div class="x_author_y">A</div><p>Язган Гали</p>', "Язган Гали", "regex:8"),
+)
+
+
+@query("html_bylines", f"SELECT i, byline, place FROM ({BYLINES})")
+def html_bylines(spark, sf_dir):
+    from ..functions import html as H
+
+    return frame(spark, BYLINES).select("i", H.bylines("html").alias("b")).select("i", F.col("b.text").alias("byline"), F.col("b.source").alias("place"))

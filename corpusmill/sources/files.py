@@ -155,3 +155,22 @@ def write_by_alphabet(df: DataFrame, path: str, column: str = "alphabet") -> Non
 def write_table(df: DataFrame, path: str, keep: bool = False, force: bool = False) -> None:
     """CSV with a header. keep: an existing table stays as it is; else it is replaced only with force."""
     df.write.mode("ignore" if keep else "overwrite" if force else "error").option("header", "true").csv(path)
+
+
+def write_items(df: DataFrame, path: str, most: int = 10_000) -> None:
+    """One JSON document {"items": [...]} of a small table; a larger one is refused, JSON lines are the format for those."""
+    if (n := df.limit(most + 1).count()) > most:
+        raise ValueError(f"{n} rows or more are too many for one document; use write_jsonl")
+    items = F.to_json(F.struct(F.collect_list(F.struct(*df.columns)).alias("items")), {"ignoreNullFields": "false"})
+    df.coalesce(1).agg(items.alias("value")).write.mode("overwrite").text(path)
+
+
+def file_statistics(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """file, lines, kb of the text files of a tree."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("size"))
+    return lines.groupBy("file").agg(F.count("*").alias("lines"), F.round(F.max("size") / 1024, 1).alias("kb"))
+
+
+def output_name(site: str, day: str, what: str = "articles") -> str:
+    """The name under which a site's rows of a day are kept."""
+    return f"{site}_{day}_{what}.jsonl"

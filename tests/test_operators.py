@@ -154,3 +154,15 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         landed.resume(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "url").awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_one_document_of_items_and_file_statistics(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, "b")], "i int, t string")
+    files.write_items(df, str(tmp_path / "items"))
+    (line,) = [r.value for r in spark.read.text(str(tmp_path / "items")).collect()]
+    assert sorted(json.loads(line)["items"], key=str) == [{"i": 1, "t": None}, {"i": 2, "t": "b"}]
+    with pytest.raises(ValueError, match="too many"):
+        files.write_items(df, str(tmp_path / "more"), most=1)
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / files.output_name("s", "2024-01-01")).write_text("a\nb\n")
+    assert [tuple(r) for r in files.file_statistics(spark, str(tmp_path / "logs")).collect()] == [("s_2024-01-01_articles.jsonl", 2, 0.0)]
