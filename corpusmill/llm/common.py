@@ -54,13 +54,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def over_batches(df: DataFrame, fn: Callable[[dict[str, list], int], dict[str, object] | None], schema: pa.Schema, ddl: str, text: str | None = "text") -> DataFrame:
+def over_batches(df: DataFrame, fn: Callable[[dict[str, list], int], dict[str, object] | None], schema: pa.Schema, ddl: str, text: str | None = "text", size: int = BLOCK_BYTES) -> DataFrame:
     """mapInArrow that hands fn blocks of bounded size as {column: pa.Array} and takes back columns of any length."""
     names = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, text):
+            for part in blocks(batch, text, size):
                 out = fn({n: part.column(i) for i, n in enumerate(names)}, part.num_rows)
                 if out is not None:
                     made = pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in schema], schema=schema)
@@ -70,8 +70,8 @@ def over_batches(df: DataFrame, fn: Callable[[dict[str, list], int], dict[str, o
     return df.mapInArrow(run, ddl)
 
 
-def blocks(batch: pa.RecordBatch, text: str | None) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about BLOCK_BYTES of text each; a longer row stands alone."""
+def blocks(batch: pa.RecordBatch, text: str | None, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes of text each; a longer row stands alone."""
     if text is None or text not in batch.schema.names or not batch.num_rows:
         yield batch
         return
@@ -82,7 +82,7 @@ def blocks(batch: pa.RecordBatch, text: str | None) -> Iterator[pa.RecordBatch]:
     at = np.concatenate([[0], np.cumsum(sizes + 64)])
     lo = 0
     while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + BLOCK_BYTES, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + size, side="right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
 

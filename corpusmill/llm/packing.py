@@ -29,6 +29,8 @@ from .common import cut, over_batches, sole, tokenizer_path
 from .wordids import WordIds
 
 CAPACITY, END = 4096, 1
+#: Bytes of text tokenised at once: more share more words.
+BLOCK = 8 << 20
 #: Lengths count as multiples of GRAIN in the programme; rounds of multiplicative weights and their step.
 GRAIN, ROUNDS, STEP = 32, 2000, 0.3
 
@@ -67,14 +69,12 @@ class WordCache(WordIds):
         return at[numbered.indices.to_numpy(zero_copy_only=False)], counts
 
     def learn(self, new: set[str]) -> None:
-        plain, split = [], []
-        for w in new:
-            body = w.rstrip(".,!?;:#*&%$")
-            low = body.lower() if body.isascii() else body
-            if (len(body) < len(w) or low != w) and body and body.isalpha():
-                split.append((w, low, w[len(body) :]))
-            else:
-                plain.append(w)
+        words = list(new)
+        body = pc.ascii_rtrim(pa.array(words, pa.string()), characters=".,!?;:#*&%$")
+        low = pc.if_else(pc.string_is_ascii(body), pc.ascii_lower(body), body).to_pylist()
+        alone = [x.isalpha() for x in low]
+        split = [(w, x, w[len(x) :]) for w, x, ok in zip(words, low, alone) if ok and w != x]
+        plain = [w for w, x, ok in zip(words, low, alone) if not ok or w == x]
         letters = {b for _, b, _ in split} - self.index.keys()
         letters.update(w for w in plain if w.isalpha())
         odd = ({t for _, _, t in split} - self.index.keys()).union(w for w in plain if not w.isalpha())
@@ -132,7 +132,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity
         of, piece, start, length, crc = (np.array(x, np.int64) for x in zip(*rows))
         return {"doc_id": cols["doc_id"].take(pa.array(of)), "piece": piece.astype(np.int32), "start": start, "length": length, "ids_crc32": crc}
 
-    return over_batches(df, run, schema, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return over_batches(df, run, schema, "doc_id long, piece int, start long, length long, ids_crc32 long", size=BLOCK)
 
 
 # --- the configuration linear programme ------------------------------------------------------------------------

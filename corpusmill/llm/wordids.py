@@ -8,6 +8,8 @@ import numpy as np
 
 #: Words that a worker remembers before it starts anew.
 REMEMBER = 600_000
+#: Words whose ids are put together at once.
+RUN = 1 << 17
 
 
 class WordIds:
@@ -56,8 +58,12 @@ class WordIds:
         if len(self.index) > REMEMBER:
             self.forget()
         at, counts = self.places(texts)
-        size, start = self.size[at], self.start[at]
+        size = self.size[at]
         ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(start - (ends - size), size)]
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+        for lo in range(0, len(at), RUN):  # a run at a time: the places of all ids at once would take more than the ids
+            part, n = at[lo : lo + RUN], size[lo : lo + RUN]
+            to = ends[lo : lo + RUN]
+            first = int(to[0] - n[0])
+            ids[first : int(to[-1])] = self.flat[np.arange(int(to[-1]) - first) + np.repeat(self.start[part] - (to - n) + first, n)]
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
