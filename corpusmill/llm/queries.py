@@ -54,7 +54,7 @@ WITH fit AS (
   FROM fit q JOIN fit c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
-QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
 """
 
 
