@@ -341,5 +341,6 @@ def near_duplicates(docs: DataFrame, radius: int = 2, m: int = 3, dear: float =
     members = star.unionByName(star.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "fp").join(nodes, "fp")
     least = members.groupBy("root").agg(F.min("rep").alias("component_id"))
     linked = members.join(least, "root").select("fp", "component_id")
-    of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
+    # cut, so that the last join reads both its sides from shuffles that Spark can split where a fingerprint is hot
+    of = cut(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")))
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
