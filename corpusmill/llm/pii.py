@@ -35,16 +35,17 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: Candidate generators by kind; kinds in the order of the spans.
+#: Candidate generators, named by kind; several may propose the same digits. KINDS is the order of the spans.
 WIDE = {
     "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++ ?(?:@|[\[(] ?(?:at|AT) ?[\])]| at | AT ) ?{HOST}++(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]| dot | DOT ) ?{HOST}++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}",
-    "phone": r"(?<![0-9.])\(?[0-9]{2,5}\)?(?:[ .-]?[0-9]{2,5}){2,5}",
+    "card": r"(?<![0-9])[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}(?![0-9])",
+    "phone": r"(?<![0-9.])\(?[0-9]{2,5}\)?(?:[ .-]?[0-9]{2,5}){2,5}(?![0-9])",
     "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])",
+    "card_whole": r"(?<![0-9])[0-9]{13,19}(?![0-9])",
 }
-KINDS = list(WIDE)
+KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 # Fixed cue words.
 CUES = {
     1: "phone|tel|call|mobile|cell|fax|whatsapp|telefon|téléphone|teléfono|anrufen|contact",
@@ -107,6 +108,7 @@ WIDE_NEEDS = {
     "phone": "digit",
     "iban": "digit",
     "ssn": "digit",
+    "card_whole": "digit",
 }
 
 
@@ -137,22 +139,23 @@ def candidates(docs: DataFrame) -> DataFrame:
     base = ", ".join(f"transform(__b_{k}, x -> named_struct('k', {i}, 's', x.s, 'e', x.e))" for i, k in enumerate(BASE))
     df = df.withColumn("base", F.expr(f"concat({base})"))
     free = "not exists(base, b -> b.s < x.e and x.s < b.e)"
-    cands = ", ".join(f"transform(filter(__w_{k}, x -> {free}), x -> {features_sql(i)})" for i, k in enumerate(WIDE))
+    cands = ", ".join(f"transform(filter(__w_{k}, x -> {free}), x -> {features_sql(KINDS.index(k.split('_')[0]))})" for k in WIDE)
     return df.withColumn("cands", F.expr(f"concat({cands})")).drop("digit", *[f"__b_{k}" for k in BASE], *[f"__w_{k}" for k in WIDE])
 
 
 # --- labelled samples ------------------------------------------------------------------------------------------
 
 
-def sample(rng: random.Random) -> tuple[str, int, int, bool]:
-    """(text, start, end, whether start..end is personal data)."""
+def sample(rng: random.Random) -> tuple[str, int, int, int]:
+    """(text, start, end, the kind of personal data that start..end is, -1 for none)."""
     words = "the a of for and please now here from under your our last new is was to und der la le el les des".split()
     d = lambda n: "".join(rng.choices("0123456789", k=n))
     name = lambda: "".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randint(3, 8)))
     cue = lambda k: rng.choice(CUES[k].split("|")) + rng.choice([" ", ": ", " is ", " = "])
     sep = rng.choice([" ", "-", "."])
     kind = rng.randrange(16)
-    before, after, good = "", "", kind < 8
+    before, after = "", ""
+    truth = KINDS.index(("email", "phone", "card", "card", "iban", "ssn", "ip", "phone")[kind]) if kind < 8 else -1
     if kind == 0:
         a, b = rng.choice([(" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), (" (at) ", ".")])
         span, before = f"{name()}.{name()}{a}{name()}{b}com", cue(4) if rng.random() < 0.5 else ""
@@ -193,7 +196,7 @@ def sample(rng: random.Random) -> tuple[str, int, int, bool]:
     lead = " ".join(rng.choices(words, k=rng.randint(0, 6)))
     lead += " " if lead and not before.startswith(("/", "_", "=")) else ""
     text = lead + before + span + after + " " + " ".join(rng.choices(words, k=rng.randint(0, 5)))
-    return text, len(lead + before), len(lead + before + span), good
+    return text, len(lead + before), len(lead + before + span), truth
 
 
 # --- boosted trees ---------------------------------------------------------------------------------------------
@@ -268,11 +271,11 @@ def labelled(spark: SparkSession, samples: int = SAMPLES, seed: int = 7) -> list
     """(whether it is for calibration, candidates' features, labels) for two parts of the samples."""
     rng = random.Random(seed)
     made = [sample(rng) for _ in range(samples)]
-    rows = json.dumps([{"i": i, "text": t, "a": a, "b": b, "good": g} for i, (t, a, b, g) in enumerate(made)], ensure_ascii=False)
-    texts = spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(rows), "array<struct<i:int,text:string,a:int,b:int,good:boolean>>")))
-    found = candidates(texts).select("i", "a", "b", "good", F.explode("cands").alias("x")).select("i", "a", "b", "good", "x.*").collect()
+    rows = json.dumps([{"i": i, "text": t, "a": a, "b": b, "truth": g} for i, (t, a, b, g) in enumerate(made)], ensure_ascii=False)
+    texts = spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(rows), "array<struct<i:int,text:string,a:int,b:int,truth:int>>")))
+    found = candidates(texts).select("i", "a", "b", "truth", F.explode("cands").alias("x")).select("i", "a", "b", "truth", "x.*").collect()
     x = np.array([[r[f] for f in FEATURES] for r in found], np.int64)
-    y = np.array([r.good and 2 * (min(r.e, r.b) - max(r.s, r.a)) >= r.b - r.a for r in found], np.float64)
+    y = np.array([r.kind == r.truth and 2 * (min(r.e, r.b) - max(r.s, r.a)) >= max(r.e, r.b) - min(r.s, r.a) for r in found], np.float64)
     held = np.array([r.i % 3 == 0 for r in found])
     return [(False, x[~held], y[~held]), (True, x[held], y[held])]
 
@@ -314,7 +317,7 @@ def detect(docs: DataFrame, model: Model | None = None) -> DataFrame:
     scored = f"filter(transform(cands, x -> named_struct('k', x.kind, 's', x.s, 'e', x.e, 'o', {model.odds_sql()}, 'c', {model.threshold_sql()})), x -> x.o >= x.c)"
     df = df.withColumn("__kept", F.expr(f"if(size(cands) = 0, null, {scored})"))
     clear = "not exists(__kept, z -> z.s < x.e and x.s < z.e and (z.o > x.o or z.o = x.o and (z.k < x.k or z.k = x.k and z.s < x.s)))"
-    found = f"coalesce(transform(filter(__kept, x -> {clear}), x -> named_struct('k', x.k, 's', x.s, 'e', x.e)), cast(array() as array<struct<k:int,s:int,e:int>>))"
+    found = f"coalesce(array_distinct(transform(filter(__kept, x -> {clear}), x -> named_struct('k', x.k, 's', x.s, 'e', x.e))), cast(array() as array<struct<k:int,s:int,e:int>>))"
     return df.withColumn("found", F.expr(found)).drop("__kept", "cands")
 
 
