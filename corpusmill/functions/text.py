@@ -16,6 +16,9 @@ from pyspark.sql.types import StringType
 #: White space and word characters beyond ASCII, alike in Java and RE2 patterns.
 WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 W = r"[\p{L}\p{N}_]"
+#: The characters of WS one by one, for trimming without a pattern; and runs of WS that are more than one plain space.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+WS_RUN = " *" + WS.replace(r"\s", r"\t-\r") + WS + "*| {2,}"
 NOT_W_OR_WS = WS.replace("[", r"[^\p{L}\p{N}_", 1)
 
 # Emoji ranges and boilerplate lines.
@@ -29,11 +32,11 @@ def col(c: Column | str) -> Column:
 
 def squeeze(c: Column | str) -> Column:
     """White space as single spaces, none at the ends; null becomes the empty string."""
-    return F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"{WS}+", " "), "^ | $", "")
+    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), WS_RUN, " "))
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def sha(c: Column | str, length: int | None = 32) -> Column:
@@ -82,13 +85,13 @@ def nfkc(c: Column | str) -> Column:
     """NFKC form. Texts of ASCII and Latin-1 letters are in it already; Python sees a null for them, and no text crosses over."""
     c = col(c)
     other = c.rlike(r"[^\x{00}-\x{9F}\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}-\x{B1}\x{B6}-\x{B7}\x{BB}\x{BF}-\x{131}]")
-    return F.coalesce(_nfkc(F.when(other, c)), c)
+    return F.coalesce(_nfkc(F.when((F.octet_length(c) > F.length(c)) & other, c)), c)
 
 
 def normal_form(c: Column | str, unicode_form: bool = True) -> Column:
     """What exact duplicates share: NFKC, lower case, single spaces, no punctuation."""
     c = nfkc(c) if unicode_form else col(c)
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(c), f"{WS}+", " "), NOT_W_OR_WS, ""), "^ +| +$", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), WS_RUN, " "), NOT_W_OR_WS, ""))
 
 
 def without_emoji(c: Column | str) -> Column:
