@@ -93,7 +93,10 @@ class WordCache(WordIds):
         if not words:
             return
         runs = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+        ids = []
+        for i in range(0, len(runs), 32):  # an encoding holds much more than its ids
+            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs[i : i + 32], add_special_tokens=False)]
+        flat = np.concatenate(ids)
         last = np.flatnonzero(self.closes[flat])
         if len(last) == len(words):
             self.append(words, np.diff(last, prepend=-1), flat)
@@ -101,10 +104,11 @@ class WordCache(WordIds):
             self._others(words)
 
     def _others(self, words: list[str]) -> None:
-        if words:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        for i in range(0, len(words), 16_000):
+            some = words[i : i + 16_000]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.append(words, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+            self.append(some, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
 
 
 def word_cache(name: str) -> WordCache:
