@@ -30,7 +30,7 @@ from .wordids import WordIds
 
 CAPACITY, END = 4096, 1
 #: Bytes of text tokenised at once: more share more words.
-BLOCK = 8 << 20
+BLOCK = 5 << 20
 #: Lengths count as multiples of GRAIN in the programme; rounds of multiplicative weights and their step.
 GRAIN, ROUNDS, STEP = 32, 2000, 0.3
 

@@ -7,7 +7,7 @@ from itertools import chain
 import numpy as np
 
 #: Words that a worker remembers before it starts anew.
-REMEMBER = 600_000
+REMEMBER = 500_000
 #: Words whose ids are put together at once.
 RUN = 1 << 17
 
