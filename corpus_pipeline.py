@@ -1,8 +1,8 @@
 """The training-data pipeline over documents.
 
 Stages, each on all that the one before it kept: language ID (documents without
-letters go), toxicity (toxic documents go), SimHash near-duplicates (one document
-of each group stays), PII (personal data is replaced by its kind), packing (the
+letters go), toxicity (toxic documents go), near-duplicates (one document of
+each SimHash group stays, if its five-word shingles aren't like an earlier one's), PII (personal data is replaced by its kind), packing (the
 rest, as pieces of sequences). All stages but the last return the columns of
 documents.
 """
@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import langid, packing, pii, simhash, toxicity
+from corpusmill.llm import langid, packing, pii, resemble, simhash, toxicity
 from corpusmill.llm.common import cut, scratch, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,15 +33,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of each group that has the least doc_id.
+    """Keeps the document of each SimHash group that has the least doc_id; of these, in order of doc_id, those whose
+    five-word shingles are less than 0.8 similar to those of every earlier one that stays.
 
     A row without a doc_id counts as if its text gave it one beyond the others. Rows that repeat a doc_id are one
     document: of those that would stay, the first by text does.
     """
     beyond = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
     named = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), beyond).alias("__id"))
-    groups = simhash.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"))
-    kept = cut(groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n")))
+    texts = named.select(F.col("__id").alias("doc_id"), "text")
+    groups = simhash.near_duplicates(texts)
+    first = cut(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
+    kept = cut(resemble.kept(texts, first))
     many = kept.where(F.col("n") > 1).select(F.col("doc_id").alias("__id"))
     once = named.join(kept.where(F.col("n") == 1).select(F.col("doc_id").alias("__id")), "__id", "left_semi").select(*COLUMNS)
     if many.isEmpty():

@@ -100,7 +100,8 @@ def fingerprints(texts: list[str | None], width: int = 3) -> np.ndarray:
     return out
 
 
-def _block(docs: list[list[bytes]], width: int) -> np.ndarray:
+def shingle_hashes(docs: list[list[bytes]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """XXH64 of the shingles of texts with words, one text after another; how many each has; where each begins, and the end."""
     counts = np.array([len(d) for d in docs], np.int64)
     flat = list(itertools.chain.from_iterable(docs))
     raw = b" ".join(flat)
@@ -114,7 +115,11 @@ def _block(docs: list[list[bytes]], width: int) -> np.ndarray:
     inner = np.arange(first[-1]) - np.repeat(first[:-1], made)
     at = np.repeat(offs[:-1], made) + inner
     last = at + np.repeat(np.minimum(counts, width), made) - 1
-    h = _hashes(buf, starts[at], ends[last])
+    return _hashes(buf, starts[at], ends[last]), made, first
+
+
+def _block(docs: list[list[bytes]], width: int) -> np.ndarray:
+    h, made, first = shingle_hashes(docs, width)
     ones = np.empty((len(docs), BITS), np.int64)
     step = 1 << 16
     ones[:] = 0
