@@ -21,8 +21,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language can be told: those with any letter. Where lang is null it becomes the prediction."""
-    made = langid.identify(docs, langid.fit(docs), COLUMNS)
+    """Keeps documents with any letter. Where lang is null it becomes the prediction; without a model it stays null."""
+    model = langid.fit(docs)
+    if model is None:
+        return langid.lettered(docs.select(*COLUMNS))
+    made = langid.identify(docs, model, COLUMNS)
     return made.where(F.col("lang_pred") != langid.UND).select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else c for c in COLUMNS])
 
 

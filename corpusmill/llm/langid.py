@@ -53,6 +53,17 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(c.isalpha() for c in text)
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """Rows whose text has a letter."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([has_letter(t.as_py()) for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def log_scores(words: list[str], model: Model) -> np.ndarray:
     """[word, language]: log probability of the word, marked as a word's beginning, over all segmentations."""
     table = P.pieces(model.vocabulary)
