@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import predicates, scripts, text as X
+from ..functions import html as H, predicates, scripts, text as X
 from ..operators import dedup, metrics, unify
 from . import sql as S
 from .registry import query, table
@@ -13,9 +13,13 @@ from .registry import query, table
 SEED_PAGES = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 
 
-def corpus_rows(spark, sf_dir):
-    """Unified rows of pages (news), conversations (social) and documents, each with seq."""
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), "url", F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("title"), F.regexp_extract("html", "<p>([^<]*)</p>", 1).alias("content"), F.nullif(F.regexp_extract("html", '<html[^>]*lang="([^"]+)"', 1), F.lit("")).alias("language"))
+def corpus_rows(spark, sf_dir, whole=False):
+    """Unified rows of pages (news), conversations (social) and documents, each with seq.
+
+    whole: title and content of pages from the HTML tree; else what SQL can express, the first plain paragraph.
+    """
+    found = F.struct(F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("title"), F.regexp_extract("html", "<p>([^<]*)</p>", 1).alias("content"))
+    pages = table(spark, sf_dir, "pages").withColumn("f", H.page_text("html") if whole else found).select(F.col("page_id").alias("seq"), "url", "f.title", "f.content", F.nullif(F.regexp_extract("html", '<html[^>]*lang="([^"]+)"', 1), F.lit("")).alias("language"))
     talks = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100_000 + F.col("turn")).alias("seq"), unify.wall_url(F.lit(None), "conv_id").alias("url"), F.substring("text", 1, 120).alias("title"), F.col("text").alias("content"), F.col("role").alias("author"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "text", F.col("source").alias("category"), F.col("lang").alias("language"))
     return unify.corpus({"news": unify.unify(pages, "news"), "social": unify.unify(talks, "social_vk_post"), "document": unify.unify(docs, "document")})
@@ -35,6 +39,12 @@ def corpus_unify_dedup(spark, sf_dir):
     return dedup.first_wins(corpus_rows(spark, sf_dir), dedup.corpus_key(), ["source_rank", "seq"]).select(*unify.CORPUS)
 
 
+@query("corpus_unify_whole")
+def corpus_unify_whole(spark, sf_dir):
+    """corpus_unify_dedup with the whole content of pages."""
+    return dedup.first_wins(corpus_rows(spark, sf_dir, whole=True), dedup.corpus_key(), ["source_rank", "seq"]).select(*unify.CORPUS)
+
+
 @query(
     "corpus_by_source_language",
     f"""WITH c AS (SELECT 'news' AS source_type, nullif(regexp_extract(html, '<html[^>]*lang="([^"]+)"', 1), '') AS language FROM pages
