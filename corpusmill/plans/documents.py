@@ -311,7 +311,22 @@ def split_choice(spark, sf_dir):
 @query("word_set_algebra", f"SELECT a.lang AS a, b.lang AS b, CAST(len(list_intersect(a.w, b.w)) AS BIGINT) AS shared, CAST(len(list_distinct(list_concat(a.w, b.w))) AS BIGINT) AS either FROM (SELECT lang, list_distinct(flatten(list({S.tokens('substr(text, 1, 200)')}))) AS w FROM documents GROUP BY lang) a JOIN (SELECT lang, list_distinct(flatten(list({S.tokens('substr(text, 1, 200)')}))) AS w FROM documents GROUP BY lang) b ON a.lang < b.lang")
 def word_set_algebra(spark, sf_dir):
     """How many opening words two languages share, and how many either has."""
-    w = table(spark, sf_dir, "documents").select("lang", F.explode(X.tokens(F.substring("text", 1, 200))).alias("w")).distinct()
+    return _word_sets(table(spark, sf_dir, "documents").select("lang", F.explode(X.tokens(F.substring("text", 1, 200))).alias("w")).distinct())
+
+
+@query(
+    "word_set_whole",
+    f"""WITH w AS (SELECT DISTINCT lang, w FROM (SELECT lang, unnest({S.tokens('text')}) AS w FROM documents)), n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+    s AS (SELECT x.lang AS a, y.lang AS b, count(*) AS shared FROM w x JOIN w y USING (w) WHERE x.lang < y.lang GROUP BY ALL)
+    SELECT x.lang AS a, y.lang AS b, coalesce(shared, 0) AS shared, x.n + y.n - coalesce(shared, 0) AS either FROM n x JOIN n y ON x.lang < y.lang LEFT JOIN s ON s.a = x.lang AND s.b = y.lang""",
+)
+def word_set_whole(spark, sf_dir):
+    """How many words of whole texts two languages share, and how many either has."""
+    return _word_sets(table(spark, sf_dir, "documents").select("lang", F.explode(X.tokens("text")).alias("w")).distinct())
+
+
+def _word_sets(w):
+    """By pair of languages: words (lang, w; distinct) that both have, and that either has."""
     sizes = w.groupBy("lang").agg(F.count("*").alias("n"))
     shared = w.select(F.col("lang").alias("a"), "w").join(w.select(F.col("lang").alias("b"), "w"), "w").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("shared"))
     a, b = sizes.select(F.col("lang").alias("a"), F.col("n").alias("x")), sizes.select(F.col("lang").alias("b"), F.col("n").alias("y"))

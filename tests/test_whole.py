@@ -1,6 +1,7 @@
 """Queries over whole texts and pages, on small tables."""
 
 import __spark_entry__ as E
+from corpusmill.plans import registry
 
 
 def put(spark, folder, name, rows, schema):
@@ -17,3 +18,9 @@ def test_entry_has_the_whole_content_of_pages(spark, tmp_path, monkeypatch):
     assert len(got) == 3
     assert got["news"].title == "A title"
     assert all(x in got["news"].content for x in ("First marked paragraph.", "Second one.", "Third, unclosed", "Fourth", "Fifth", "An item"))
+
+
+def test_words_after_the_first_200_characters_count(spark, tmp_path):
+    rows = [(1, "a " * 150 + "late", "en", "s"), (2, "b " * 150 + "late", "fr", "s")]
+    put(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
+    assert [tuple(r) for r in registry.queries()["word_set_whole"](spark, str(tmp_path)).collect()] == [("en", "fr", 1, 3)]
