@@ -6,7 +6,6 @@ import contextlib
 import ctypes
 import gc
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -23,10 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local session gets a folder under its warehouse; a cluster must name one.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints/{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(found)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -59,6 +63,7 @@ def over_batches(df: DataFrame, fn: Callable[[dict[str, list], int], dict[str, o
     names = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for part in blocks(batch, text, size):
                 out = fn({n: part.column(i) for i, n in enumerate(names)}, part.num_rows)
@@ -66,6 +71,7 @@ def over_batches(df: DataFrame, fn: Callable[[dict[str, list], int], dict[str, o
                     made = pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in schema], schema=schema)
                     if made.num_rows:
                         yield made
+        trim()
 
     return df.mapInArrow(run, ddl)
 
@@ -95,6 +101,23 @@ def share(seed: str, limit: float, total: int, *cols: str):
 
 
 _HELD: dict = {}
+_SET: list = []
+
+
+def frugal() -> None:
+    """Sets this worker's allocators, once, so that freed blocks go back to the machine: workers outlive their tasks."""
+    if not _SET:
+        _SET.append(True)
+        pa.set_memory_pool(pa.system_memory_pool())
+        with contextlib.suppress(OSError, AttributeError):
+            libc = ctypes.CDLL(None)
+            for option, value in ((-3, 1 << 20), (-1, 1 << 20), (-8, 2)):  # where mmap begins, what free space is trimmed, arenas
+                libc.mallopt(option, value)
+
+
+def trim() -> None:
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # glibc keeps freed memory otherwise
 
 
 def sole(key: object, make: Callable[[], object]) -> object:
@@ -103,10 +126,10 @@ def sole(key: object, make: Callable[[], object]) -> object:
     Python workers outlive their tasks; so the memory of one operator goes when the next one starts.
     """
     if key not in _HELD:
+        frugal()
         _HELD.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)  # glibc keeps freed memory otherwise
+        trim()
         _HELD[key] = make()
     return _HELD[key]

@@ -6,8 +6,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Words that a worker remembers before it starts anew.
-REMEMBER = 500_000
+#: Words, and characters of words, that a worker remembers before it starts anew.
+REMEMBER, REMEMBER_CHARS = 300_000, 4 << 20
 #: Words whose ids are put together at once.
 RUN = 1 << 17
 
@@ -27,6 +27,7 @@ class WordIds:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.chars = 0
         self.flat, self.n_flat = np.empty(1 << 16, np.uint32), 0
         self.start, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
@@ -43,6 +44,7 @@ class WordIds:
         self.flat[self.n_flat : self.n_flat + total] = flat
         self.n_flat += total
         self.index.update(zip(words, range(base, base + len(words))))
+        self.chars += sum(map(len, words))
 
     def places(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(place in the memory of each word of all texts, how many words each text has); new words are learned."""
@@ -55,7 +57,7 @@ class WordIds:
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin, with the end of the last)."""
-        if len(self.index) > REMEMBER:
+        if len(self.index) > REMEMBER or self.chars > REMEMBER_CHARS:
             self.forget()
         at, counts = self.places(texts)
         size = self.size[at]
