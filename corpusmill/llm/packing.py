@@ -5,8 +5,8 @@ configuration linear programme over it (a configuration: a multiset of lengths
 that fits a sequence) is solved by multiplicative weights: each length has a
 price, a knapsack dynamic programme finds the dearest configuration, and the
 prices of the lengths that it covers fall. The configurations are rounded to
-whole numbers of sequences with a place left open, and what is left over is
-placed best fit first, into these and new ones. All
+whole numbers of sequences with one or two places left open, whose room is
+filled to the end; what is left over is placed best fit first. All
 of this works on counts, so its cost depends on the histogram and not on the
 number of documents; the plan is a bounded table that tells the r-th piece of a
 length its sequence and offset.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, insort
 from itertools import chain
 
 import numpy as np
@@ -33,6 +33,8 @@ CAPACITY, END = 4096, 1
 BLOCK = 5 << 20
 #: Lengths count as multiples of GRAIN in the programme; rounds of multiplicative weights and their step.
 GRAIN, ROUNDS, STEP = 32, 2000, 0.3
+#: The solution is rounded with so many places of each configuration left open; the rounding with fewer sequences holds.
+SPARE = (1, 2)
 
 
 # --- tokens ----------------------------------------------------------------------------------------------------
@@ -247,57 +249,78 @@ def best_fit(left: dict[int, int], capacity: int, opened: list[tuple[list[tuple[
     return [(c, t) for same in bins.values() for c, t in same]
 
 
-def rounded(hist: dict[int, int], capacity: int, grain: int, rounds: int, step: float) -> tuple[list[tuple[list[tuple[int, int]], int]], dict[int, int]]:
-    """The programme over lengths rounded up to multiples of grain, in whole numbers and true lengths.
+def rounded(hist: dict[int, int], capacity: int, grain: int, solved: list[tuple[dict[int, int], float]], spare: int) -> tuple[list[tuple[list[tuple[int, int]], int]], dict[int, int]]:
+    """The solved programme over lengths rounded up to multiples of grain, in whole numbers and true lengths.
 
     Returns opened sequences (configuration, times) and the counts still to be placed. A configuration gives all its
-    places but the smallest, each to the longest length of its class; the room that is left, which rounding up has
-    widened, goes to the longest lengths of any class that fit it. Those with the longest places come first.
+    places but the `spare` smallest, each to the longest length of its class; the room that is left, which rounding up
+    has widened, is filled to the end from all lengths. Those with the longest places come first.
     """
-    have, lengths = dict(hist), sorted(hist)
-    classes: dict[int, list[int]] = {}
-    for x in lengths:
-        classes.setdefault(-(-x // grain), []).append(x)
-    sizes = np.array(sorted(classes), np.int64)
-    counts = np.array([sum(have[x] for x in classes[k]) for k in sizes.tolist()], np.int64)
+    have = np.zeros(capacity + 1, np.int64)
+    have[list(hist)] = list(hist.values())
+    sizes = classes(hist, grain)[0]
     opened = []
-    for config, times in sorted(solve(sizes, counts, capacity // grain, rounds, step), key=lambda x: -max(int(sizes[i]) for i in x[0])):
-        places = sorted((int(sizes[i]) for i, n in config.items() for _ in range(n)), reverse=True)[:-1]
+    for config, times in sorted(solved, key=lambda x: -max(int(sizes[i]) for i in x[0])):
+        places = sorted((int(sizes[i]) for i, n in config.items() for _ in range(n)), reverse=True)[:-spare]
         left = int(times)
         while left and places:
-            taken: dict[int, int] = {}
+            free, taken = have.copy(), []
             for k in places:
-                x = next((x for x in reversed(classes[k]) if have[x] > taken.get(x, 0)), None)
-                if x is None:
+                lo = (k - 1) * grain + 1
+                some = np.flatnonzero(free[lo : k * grain + 1])
+                if not len(some):
                     break
-                taken[x] = taken.get(x, 0) + 1
-            else:
-                fill(taken, have, lengths, capacity)
-                most = min(left, *(have[x] // n for x, n in taken.items()))
-                for x, n in taken.items():
-                    have[x] -= n * most
-                    if not have[x]:
-                        lengths.remove(x)
-                        classes[-(-x // grain)].remove(x)
-                opened.append((sorted(taken.items(), reverse=True), most))
-                left -= most
-                continue
-            break
-    return opened, {x: have[x] for x in lengths}
-
-
-def fill(taken: dict[int, int], have: dict[int, int], lengths: list[int], capacity: int) -> None:
-    """Adds to taken the longest lengths that fit, one after the other."""
-    room = capacity - sum(x * n for x, n in taken.items())
-    i = bisect_right(lengths, room) - 1
-    while i >= 0:
-        x = lengths[i]
-        if x <= room and have[x] > taken.get(x, 0):
-            taken[x] = taken.get(x, 0) + 1
+                taken.append(lo + int(some[-1]))
+                free[taken[-1]] -= 1
+            if len(taken) < len(places):
+                break
+            taken += fill(capacity - sum(taken), free)
+            lengths, n = np.unique(taken, return_counts=True)
+            most = int(min(left, (have[lengths] // n).min()))
+            have[lengths] -= n * most
+            opened.append(([(int(x), int(c)) for x, c in zip(lengths[::-1], n[::-1])], most))
+            left -= most
+    return opened, {int(k): int(have[k]) for k in np.flatnonzero(have)}
+
+
+def classes(hist: dict[int, int], grain: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes in grains, ascending; how many pieces each has)."""
+    lengths, n = np.array(list(hist), np.int64), np.array(list(hist.values()), np.int64)
+    sizes, at = np.unique(-(-lengths // grain), return_inverse=True)
+    return sizes, np.bincount(at, weights=n).astype(np.int64)
+
+
+def to_the_end(room: int, free: np.ndarray) -> list[int]:
+    """One length, or the two most alike, that fill room to its end; none if there are none."""
+    if free[room] > 0:
+        return [room]
+    a = np.arange(1, room // 2 + 1)
+    found = np.flatnonzero((free[a] > 0) & (free[room - a] > (a == room - a)))
+    return [room - int(a[found[-1]]), int(a[found[-1]])] if len(found) else []
+
+
+def fill(room: int, free: np.ndarray, tries: int = 24) -> list[int]:
+    """Lengths for a room, taken from free: those that fill it to the end, after one of the longest if need be."""
+    taken: list[int] = []
+    while room > 0:
+        now = to_the_end(room, free)
+        if not now:
+            fits = np.flatnonzero(free[: room + 1] > 0)
+            if not len(fits):
+                break
+            now = [int(fits[-1])]
+            for x in fits[::-1][:tries].tolist():
+                free[x] -= 1
+                rest = to_the_end(room - x, free)
+                free[x] += 1
+                if rest:
+                    now = [x, *rest]
+                    break
+        for x in now:
+            free[x] -= 1
             room -= x
-            i = min(i, bisect_right(lengths, room) - 1)
-        else:
-            i -= 1
+        taken += now
+    return taken
 
 
 def plan(hist: dict[int, int], capacity: int = CAPACITY, grain: int = GRAIN, rounds: int = ROUNDS, step: float = STEP) -> Plan:
@@ -306,8 +329,12 @@ def plan(hist: dict[int, int], capacity: int = CAPACITY, grain: int = GRAIN, rou
     if capacity in left:  # full pieces stand alone
         made.add([(capacity, 1)], left.pop(capacity))
     if left:
-        opened, rest = rounded(left, capacity, grain, rounds, step)
-        for config, times in best_fit(rest, capacity, opened):
+        solved = solve(*classes(left, grain), capacity // grain, rounds, step)
+        found = []
+        for spare in SPARE:
+            opened, rest = rounded(left, capacity, grain, solved, spare)
+            found.append(best_fit(rest, capacity, opened))
+        for config, times in min(found, key=lambda f: sum(t for _, t in f)):
             made.add(config, times)
     return made
 
