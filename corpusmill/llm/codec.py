@@ -8,7 +8,9 @@ piece is written as its UTF-8 bytes, each a byte piece; so is a mark that stands
 in the text itself, which makes decoding exact.
 
 The file keeps ranks of merges and no probabilities; a piece's score is the log
-probability that its rank has under Zipf's law. A byte piece scores BYTE.
+probability that its rank has under Zipf's law, as a multiple of 2^-20, so that
+sums are exact. A byte piece scores BYTE. A unit of more than LONG characters is
+segmented by itself, in blocks.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ from .wordids import WordIds
 VOCABULARY = "piece_bpe_32k.model"
 BYTE = -16.0
 UNIT = re.compile(r"\n| *[^ \n]+| +")
+LONG = 1024
 MARK, FOREIGN = ord(P.SPACE), 0x110000
 
 
 def scores(n: int) -> np.ndarray:
     weight = 1.0 / (np.arange(n) + 2.7)
-    return np.log(weight / weight.sum())
+    return np.rint(np.log(weight / weight.sum()) * 2**20) / 2**20
 
 
 class Codec(WordIds):
@@ -68,11 +71,26 @@ class Codec(WordIds):
             codes[codes == MARK] = FOREIGN
             codes[codes == 32] = MARK
             n = codes.shape[1]
-            lattice = self.table.lattice(codes)
             size = np.select([codes < 0x80, codes < 0x800, (codes < 0x10000) | (codes == FOREIGN)], [1, 2, 3], 4)
+            if n > LONG:
+                for i, w in enumerate(words):
+                    self.append([w], *self._bytes(w, *P.long_viterbi(self.table, codes[i], self.score, size[i] * BYTE)))
+                continue
+            lattice = self.table.lattice(codes)
             back = P.viterbi(lattice, self.score, size * BYTE, n)
             self.append(words, *self._trace(words, lattice, back, n))
 
+    def _bytes(self, word: str, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids, the ids) of a word from its pieces; a character that is none becomes its bytes."""
+        odd = np.flatnonzero(tokens == P.MISSING)
+        raw = [word[i].encode() for i in starts[odd].tolist()]
+        size = np.ones(len(tokens), np.int64)
+        size[odd] = list(map(len, raw))
+        ids = np.repeat(self.ids[np.maximum(tokens, 0)], size)
+        if raw:
+            ids[np.repeat(tokens == P.MISSING, size)] = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+        return np.array([len(ids)]), ids
+
     def _trace(self, words: list[str], lattice: list[np.ndarray], back: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         rows = np.arange(len(words))
         at, steps = np.full(len(words), n), []

@@ -3,7 +3,9 @@
 Substrings are found by hash: a polynomial hash of every substring of every word
 of a batch probes the sorted hashes of the pieces. Words of one length advance
 together, one position at a time, so the inner loops are numpy operations over
-all words of that length.
+all words of that length. A long word advances in blocks that do so too: what a
+block does to the last few positions before it is a small matrix, and the
+blocks' matrices are multiplied in order.
 """
 
 from __future__ import annotations
@@ -165,6 +167,100 @@ def viterbi(lattice: list[np.ndarray], score: np.ndarray, unknown: np.ndarray, l
     return back
 
 
+#: Characters of a long word whose lattice is held at once.
+CHUNK = 1 << 15
+
+
+def endings(table: Pieces, codes: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """[l - 1, j]: the piece of l characters that ends with character lo + j of one word, or MISSING, up to character hi."""
+    base = max(0, lo - table.longest + 1)
+    out = np.full((table.longest, hi - lo), MISSING, np.int32)
+    for n, found in enumerate(table.lattice(codes[None, base:hi]), 1):
+        last = base + np.arange(found.shape[1]) + n - 1
+        out[n - 1, last[last >= lo] - lo] = found[0, last >= lo]
+    return out
+
+
+def equal_blocks(n: int) -> list[tuple[int, int, int]]:
+    """(first character, blocks, characters of each) that cover n characters."""
+    size = max(1, int(n**0.5))
+    rest = n % size
+    return [(0, n // size, size)] + ([(n - rest, 1, rest)] if rest else [])
+
+
+def log_forward(table: Pieces, codes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """[language]: log of the sum over all segmentations of one word of any length. p is that of forward()."""
+    k, langs = table.longest, len(p)
+    padded = np.concatenate([p, np.zeros((langs, 1))], axis=1)
+    state, log = np.zeros((k, langs)), np.zeros(langs)  # state[t]: the sum t characters back
+    state[0] = 1
+    for lo in range(0, len(codes), CHUNK):
+        ends = endings(table, codes, lo, min(lo + CHUNK, len(codes)))
+        at = np.where(ends == MISSING, p.shape[1], ends + 1)
+        at[0] = ends[0] + 1
+        for first, n, size in equal_blocks(ends.shape[1]):
+            prob = padded[:, at[::-1, first : first + n * size].reshape(k, n, size)]  # the longest piece first
+            rows = np.zeros((size + k, langs, n, k))  # the last axis: which state before the block was 1
+            for t in range(k):
+                rows[k - 1 - t, :, :, t] = 1
+            scale = np.zeros((langs, n))
+            for i in range(size):
+                np.einsum("glb,lgbs->gbs", prob[:, :, :, i], rows[i : i + k], out=rows[i + k])
+                if i % 8 == 7 or i + 1 == size:
+                    last = rows[i + 1 : i + 1 + k]
+                    top = np.maximum(last.max(axis=(0, 3)), 1e-300)
+                    last /= top[None, :, :, None]
+                    scale += np.log(top)
+            turn = rows[size : size + k][::-1]
+            for b in range(n):
+                state = np.einsum("tgs,sg->tg", turn[:, :, b], state)
+                top = np.maximum(state.max(axis=0), 1e-300)
+                state /= top
+                log += np.log(top) + scale[:, b]
+    return log + np.log(np.maximum(state[0], 1e-300))
+
+
+def long_viterbi(table: Pieces, codes: np.ndarray, score: np.ndarray, unknown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces or MISSING, where each begins) of the best segmentation of one word of any length; viterbi() tells the rest.
+
+    Scores are multiples of one power of two, so sums are exact and blocks decide as single steps would.
+    """
+    k, n = table.longest, len(codes)
+    state = np.full(k, -np.inf)
+    state[0] = 0
+    back, token = np.empty(n, np.int8 if k < 128 else np.int32), np.empty(n, np.int32)
+    for lo in range(0, n, CHUNK):
+        hi = min(lo + CHUNK, n)
+        ends = endings(table, codes, lo, hi)
+        cost = np.where(ends == MISSING, -np.inf, score[ends])
+        cost[0] = np.where(ends[0] == MISSING, unknown[lo:hi], cost[0])
+        for first, many, size in equal_blocks(hi - lo):
+            step = cost[::-1, first : first + many * size].reshape(k, many, size)  # the longest piece first
+            rows = np.full((size + k, many, k), -np.inf)
+            for t in range(k):
+                rows[k - 1 - t, :, t] = 0
+            for i in range(size):
+                rows[i + k] = (step[:, :, i, None] + rows[i : i + k]).max(axis=0)
+            turn = rows[size : size + k][::-1]
+            best = np.empty((size + k, many))
+            for b in range(many):
+                best[k - 1 :: -1, b] = state
+                state = (turn[:, b] + state).max(axis=1)
+            for i in range(size):
+                now = step[:, :, i] + best[i : i + k]
+                took = now.argmax(axis=0)  # the first of equals: the longest
+                best[i + k] = now[took, np.arange(many)]
+                at = lo + first + np.arange(many) * size + i
+                back[at] = k - took
+                token[at] = ends[k - 1 - took, at - lo]
+    cuts, j, sizes = [], n, back.tolist()
+    while j:
+        cuts.append(j)
+        j -= sizes[j - 1]
+    last = np.array(cuts[::-1], np.int64) - 1
+    return token[last], last + 1 - back[last]
+
+
 @lru_cache(maxsize=4)
 def vocabulary(name: str = "piece_bpe_32k.model") -> tuple[list[str], list[int]]:
     """The text pieces of a public SentencePiece vocabulary with their ids, and after them no control or byte piece."""

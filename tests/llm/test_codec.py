@@ -1,6 +1,7 @@
 """The batched Viterbi against a plain one, and exact round trips."""
 
 import random
+import time
 
 import numpy as np
 
@@ -44,6 +45,26 @@ def test_segmentations_are_best_and_decode_exactly(spark, sf_dir):
         assert np.isclose(score_of(ids[offs[i] : offs[i + 1]], c), best_score(texts[i], c)), texts[i][:60]
 
 
+def test_long_units_are_segmented_as_short_ones(monkeypatch):
+    c = C.Codec()
+    rng = random.Random(8)
+    words = ["".join(rng.choices("theandrstin é漢▁", k=n)).replace(" ", "") for n in (1, 2, 17, 40, 300, 900)] + ["a" * 700, "ab" * 333]
+    plain, offs = c.encode(words)
+    monkeypatch.setattr(C, "LONG", 0)
+    for chunk in (P.CHUNK, 61):
+        monkeypatch.setattr(P, "CHUNK", chunk)
+        d = C.Codec()
+        ids, offs2 = d.encode(words)
+        assert offs.tolist() == offs2.tolist() and (ids == plain).all()
+
+
+def test_an_unbroken_text_takes_seconds():
+    c, text = C.Codec(), "thequickbrownfox漢" * 60_000
+    t = time.time()
+    ids, offs = c.encode([text])
+    assert c.decode(ids, offs) == [text.encode()] and time.time() - t < 30
+
+
 def test_operators_on_odd_rows(spark):
     df = spark.createDataFrame([*enumerate(ODD), (1, "again"), (1, "again"), (None, "no id")], "doc_id long, text string").selectExpr("*", "1 as ids", "2 as n_pieces")
     rows = C.digest(df).collect()
