@@ -16,19 +16,21 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import pieces as P
-from .common import blocks, share, sole
+from .common import blocks, frugal, share, sole, trim
 
-#: Documents that a language's model is learned from, about; words kept of all languages together.
-SAMPLE_DOCS, SAMPLE_WORDS = 3_000, 40_000
+#: Documents that a language's model is learned from, about; words that all languages learn from, shared alike, and the
+#: words that each of them gets at least.
+SAMPLE_DOCS, SAMPLE_WORDS, LEAST_WORDS = 3_000, 40_000, 500
 #: Rounds of expectation maximisation; what each piece has besides its uses; a character that is no piece.
 ROUNDS, PRIOR, UNKNOWN = 3, 0.02, 1e-7
-#: Letters of a longer word are scored in parts of this length.
-LONGEST = 64
-REMEMBER = 250_000
+#: A longer word is scored in blocks, with scaled sums; it teaches nothing.
+LONGEST = 40
+#: Words, and their letters, that a worker remembers before it starts anew.
+REMEMBER, REMEMBER_CHARS = 250_000, 4 << 20
 UND = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -42,11 +44,8 @@ class Model:
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters, in parts of at most LONGEST letters."""
-    found = WORD.findall(text.lower())
-    if found and max(map(len, found)) > LONGEST:
-        found = [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
-    return found
+    """Lower-cased runs of letters."""
+    return WORD.findall(text.lower())
 
 
 def has_letter(text: str | None) -> bool:
@@ -71,6 +70,10 @@ def log_scores(words: list[str], model: Model) -> np.ndarray:
     marked = [P.SPACE + w for w in words]
     for at, some in P.by_length(marked):
         n = len(some[0])
+        if n > LONGEST:
+            for i, codes in zip(at.tolist(), P.codes_of(some)):
+                out[i] = P.log_forward(table, codes, model.p)
+            continue
         alpha = P.forward(table.lattice(P.codes_of(some)), model.p, n)
         out[at] = np.log(np.maximum(alpha[n].T, 1e-300))
     return out
@@ -98,8 +101,8 @@ def learn(counts: dict[str, dict[str, int]], vocabulary: str = "piece_bpe_32k.mo
 def fit(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Model | None:
     """A model from documents whose crc32(doc_id) mod 5 is not 0 and whose lang is not null; None if there are none.
 
-    Each language gives about sample_docs documents, chosen by a hash of doc_id, and of all their words
-    the sample_words commonest count.
+    Each language gives about sample_docs documents, chosen by a hash of doc_id, and its commonest words of up to LONGEST
+    letters: sample_words shared by the languages alike, or LEAST_WORDS each if that is more.
     """
     train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (bucket("doc_id", 5) != 0)).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     found = {r.lang: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -109,10 +112,12 @@ def fit(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", sample_docs: i
     for k, n in sorted(found.items()):
         mine = (F.col("lang") == k) & share("langid", sample_docs, n, "doc_id")
         chosen = mine if chosen is None else chosen | mine
-    words = train.where(chosen).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{1,64})"), F.lit(1))).alias("word"))
+    words = train.where(chosen).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word")).where(F.length("word") < LONGEST)
     counted = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    most = max(LEAST_WORDS, sample_words // len(found))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     counts: dict[str, dict[str, int]] = {}
-    for r in counted.orderBy(F.desc("n"), "lang", "word").limit(sample_words).collect():
+    for r in counted.withColumn("r", rank).where(F.col("r") <= most).collect():  # bounded by `most` a language
         counts.setdefault(r.lang, {})[r.word] = r["n"]
     return learn(counts, vocabulary) if counts else None
 
@@ -131,11 +136,12 @@ class Scorer:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.chars = 0
         self.table, self.n = np.empty((1 << 14, len(self.model.languages)), np.float32), 0
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """[text, language]: log probability; rows of texts without letters are zero."""
-        if len(self.index) > REMEMBER:
+        if len(self.index) > REMEMBER or self.chars > REMEMBER_CHARS:
             self.forget()
         words = [words_of(t) if t else [] for t in texts]
         new = list(set().union(*words) - self.index.keys()) if words else []
@@ -143,6 +149,7 @@ class Scorer:
             self.table = np.concatenate([self.table[: self.n], log_scores(new, self.model).astype(np.float32)])
             self.index.update(zip(new, range(self.n, self.n + len(new))))
             self.n += len(new)
+            self.chars += sum(map(len, new))
         out = np.zeros((len(texts), len(self.model.languages)))
         counts = np.fromiter(map(len, words), np.int64, len(words))
         index = self.index
@@ -170,6 +177,7 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = Non
     names = df.columns
 
     def run(batches):
+        frugal()
         model = held.value
         scorer = sole(("langid", model.uid), lambda: Scorer(model)) if model is not None else None
         for batch in batches:
@@ -183,5 +191,6 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = Non
                     pred = [model.languages[b] if has_letter(t) else UND for b, t in zip(best.tolist(), texts)]
                     score = np.where([x == UND for x in pred], 0.0, score)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*names[:-1], "lang_pred", "score"])
+        trim()
 
     return df.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in schema) + ", lang_pred string, score double")

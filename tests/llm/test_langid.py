@@ -32,6 +32,34 @@ def test_forward_sums_all_segmentations():
             assert np.isclose(alpha[-1][k, 0], segmentations(word, index, p[k]))
 
 
+def test_long_words_sum_all_segmentations(monkeypatch):
+    table = P.Pieces(["a", "b", "ab", "ba", "aba", "▁a", "▁"])
+    rng = np.random.default_rng(1)
+    p = rng.uniform(0.01, 0.3, (2, 8))
+    monkeypatch.setattr(P, "CHUNK", 37)
+    for n in (1, 5, 36, 37, 38, 120, 200):
+        codes = P.codes_of(["▁" + "".join(rng.choice(list("abz"), n))])
+        alpha = P.forward(table.lattice(codes), p, n + 1)
+        assert np.allclose(P.log_forward(table, codes[0], p), np.log(alpha[-1][:, 0]))
+
+
+def test_long_and_unknown_words_tell_languages_apart(spark):
+    counts = {"en": {"the": 50, "and": 30}, "xx": {"qo": 40, "zu": 40}}
+    model = langid.learn(counts)
+    words = ["qozu" * 500, "theand" * 500, "ξ" * 300]
+    got = langid.log_scores(words, model)
+    assert got[0, 1] > got[0, 0] and got[1, 0] > got[1, 1] and got[2, 0] < -2000
+
+
+def test_a_rare_language_keeps_its_words(spark):
+    rows = [(i, "the and of " + " ".join(f"w{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)), "en") for i in range(200)] + [(1000 + i, "бара килә тора", "tt") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, sample_words=20)
+    assert model.languages == ["en", "tt"]
+    got = {r.lang for r in langid.identify(docs, model, ["lang"]).where("lang_pred = 'tt'").collect()}
+    assert got == {"tt"}
+
+
 def test_expected_uses_match_an_enumeration():
     table = P.Pieces(["a", "b", "ab", "▁"])
     p = np.array([[1e-3, 0.3, 0.2, 0.4, 0.1]])
