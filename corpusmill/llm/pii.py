@@ -9,9 +9,10 @@ candidates above it on held-back labelled samples PRECISION at least are true.
 The trees are a SQL expression, so scoring stays in the JVM.
 
 Base spans are what the fixed patterns of email, ip, card and phone find; they
-always stand. A candidate stands only where it overlaps no base span and no
-candidate with a greater probability. Spans are kind:start:end in code points,
-the end exclusive.
+always stand. A candidate stands only where it overlaps no base span; of
+candidates that overlap, taken by start, the likelier stands. Spans are
+kind:start:end in code points, the end exclusive. All passes over a text's spans
+are linear, so long and dense texts cost by their length.
 
 The trees are trained here, from labelled samples that a rule with a seed makes
 (SAMPLES texts); the same SQL that scans documents finds their candidates and
@@ -56,7 +57,11 @@ CUES = {
 }
 FEATURES = ["kind", "digits", "seps", "groups", "luhn", "cue", "before", "after", "len", "kinds_of_digits", "lead", "at"]
 SAMPLES, TREES, DEPTH, RATE, PRECISION = 4_000, 40, 3, 0.3, 0.97
-SPAN = "array<struct<s:int,e:int,t:string>>"
+#: Elements that a scan gathers at a time, characters of the segments of texts, and those kept before a candidate.
+STEP, SEGMENT, CONTEXT = 128, 4096, 28
+SPAN = "struct<s:int,e:int,t:string,b:string,a:string>"
+ITEM = "struct<s:int,e:int,base:int,kind:int,t:string,b:string,a:string>"
+KEPT = "struct<k:int,s:int,e:int,o:double>"
 
 
 def raw(pattern: str) -> str:
@@ -69,13 +74,27 @@ def finds(text: str, pattern: str, when: str) -> str:
     return f"if({when}, named_struct('m', regexp_extract_all({text}, {p}, 0), 'p', split({text}, {p}, -1)), named_struct('m', cast(array() as array<string>), 'p', cast(array() as array<string>)))"
 
 
+def scan(array: str, start: str, after: str, emit: str, state: str, item: str) -> str:
+    """SQL: what `emit` makes of each element x and the state acc.z before it; `after` is the state after it.
+
+    An aggregation copies what it has gathered at each step, so elements go in chunks of STEP: one pass finds the state
+    at the start of every chunk, a second one emits from there.
+    """
+    chunks = f"transform(sequence(0, greatest(size(v) - 1, 0) div {STEP}), i -> slice(v, cast(i * {STEP} + 1 as int), {STEP}))"
+    states = f"""aggregate(w, named_struct('z', cast({start} as {state}), 'o', cast(array() as array<{state}>)),
+      (o, c) -> named_struct('z', aggregate(c, named_struct('z', o.z), (acc, x) -> named_struct('z', {after}), acc -> acc.z), 'o', concat(o.o, array(o.z))), o -> o.o)"""
+    emitted = f"""flatten(zip_with(w, {states}, (c, q) -> aggregate(c, named_struct('z', q, 'out', cast(array() as array<{item}>)),
+      (acc, x) -> named_struct('z', {after}, 'out', concat(acc.out, array({emit}))), acc -> acc.out)))"""
+    return f"transform(array({array}), v -> transform(array({chunks}), w -> {emitted})[0])[0]"
+
+
 def spans_of(found: str) -> str:
-    """SQL: (start, end, match) of the matches in `found`, by adding up lengths."""
-    return f"""aggregate(zip_with({found}.p, {found}.m, (a, b) -> named_struct('a', length(a), 'b', b)),
-      named_struct('at', 0, 'out', cast(array() as {SPAN})),
-      (acc, x) -> if(x.b is null, acc, named_struct('at', acc.at + x.a + length(x.b),
-        'out', cast(concat(acc.out, array(named_struct('s', acc.at + x.a, 'e', acc.at + x.a + length(x.b), 't', x.b))) as {SPAN}))),
-      acc -> acc.out)"""
+    """SQL: (start, end, match, what stands before it, the character after it) of the matches in `found`, by adding up lengths."""
+    m, p = f"{found}.m", f"{found}.p"
+    each = f"""transform({m}, (t, i) -> named_struct('t', t, 'g', length({p}[i]), 'n', length(t),
+      'b', right(concat(coalesce(right(get({m}, i - 1), {CONTEXT}), ''), right({p}[i], {CONTEXT})), {CONTEXT}),
+      'a', if({p}[i + 1] = '', coalesce(left(get({m}, i + 1), 1), ''), left({p}[i + 1], 1))))"""
+    return scan(each, "0", "acc.z + x.g + x.n", "named_struct('s', acc.z + x.g, 'e', acc.z + x.g + x.n, 't', x.t, 'b', x.b, 'a', x.a)", "int", SPAN)
 
 
 def digits_of(t: str) -> str:
@@ -112,35 +131,44 @@ WIDE_NEEDS = {
 }
 
 
-def features_sql(kind: int, text: str = "text") -> str:
+def features_sql() -> str:
     """SQL: the features of candidate x."""
-    before = f"lower(substring({text}, greatest(x.s - 27, 1), x.s - greatest(x.s - 28, 0)))"
+    before = "lower(x.b)"
     cue = "case " + " ".join(f"when regexp_like({before}, r'(?:^|[^a-z])(?:{w})[^a-z]*(?:[a-z]+[^a-z]+)?$') then {k}" for k, w in CUES.items()) + " else 0 end"
     d = digits_of("x.t")
-    return f"""named_struct('s', x.s, 'e', x.e, 'kind', {kind},
+    return f"""named_struct('s', x.s, 'e', x.e, 'kind', x.kind,
       'digits', least(length({d}), 40),
       'seps', length(regexp_replace(x.t, '[0-9A-Za-z]', '')),
       'groups', size(split(x.t, '[^0-9]+')),
       'luhn', cast({luhn(d)} as int),
       'cue', {cue},
-      'before', case when x.s = 0 then 0 when regexp_like(substring({text}, x.s, 1), r'[\\p{{L}}\\p{{N}}#$€£=/_.-]') then 2 else 1 end,
-      'after', case when x.e >= length({text}) then 0 when regexp_like(substring({text}, x.e + 1, 1), r'[\\p{{L}}\\p{{N}}%$€£=/_-]') then 2 else 1 end,
+      'before', case when x.s = 0 then 0 when regexp_like(right(x.b, 1), r'[\\p{{L}}\\p{{N}}#$€£=/_.-]') then 2 else 1 end,
+      'after', case when x.a = '' then 0 when regexp_like(x.a, r'[\\p{{L}}\\p{{N}}%$€£=/_-]') then 2 else 1 end,
       'len', least(x.e - x.s, 80),
       'kinds_of_digits', size(array_distinct(split({d}, ''))),
       'lead', case when substring(x.t, 1, 1) = '0' then 1 when substring(x.t, 1, 1) = '(' then 2 when substring(x.t, 1, 1) in ('3', '4', '5', '6') then 3 else 0 end,
       'at', case when regexp_like(lower(x.t), r'[\\[(] ?(at|dot) ?[\\])]') then 2 when contains(lower(x.t), ' dot ') then 1 else 0 end)"""
 
 
+def clear_of_base() -> str:
+    """SQL: the candidates of `wide` that overlap no span of `base`: one pass sees the bases that begin before, one those after."""
+    items = "array_sort(concat(transform(base, x -> cast(named_struct('s', x.s, 'e', x.e, 'base', 1, 'kind', x.k, 't', '', 'b', '', 'a', '') as " + ITEM + ")), wide))"
+    forth = scan(items, "0", "if(x.base = 1, greatest(acc.z, x.e), acc.z)", "if(x.base = 1 or acc.z <= x.s, x, null)", "int", ITEM)
+    back = scan(f"reverse(filter({forth}, x -> x is not null))", "2147483647", "if(x.base = 1, least(acc.z, x.s), acc.z)", "if(x.base = 0 and acc.z >= x.e, x, null)", "int", ITEM)
+    return f"if(size(base) = 0 or size(wide) = 0, wide, filter({back}, x -> x is not null))"
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """docs (with a column text that has no nulls) and: base (spans of each base kind), cands (features of candidates)."""
-    df = docs.withColumn("digit", F.col("text").rlike("[0-9]"))
-    df = df.withColumns({f"__b_{k}": F.expr(finds("text", p, NEEDS[k])) for k, p in BASE.items()} | {f"__w_{k}": F.expr(finds("text", p, WIDE_NEEDS[k])) for k, p in WIDE.items()})
-    df = df.withColumns({f"__b_{k}": F.expr(f"filter({spans_of(f'__b_{k}')}, x -> {VALID[k]})") for k in BASE} | {f"__w_{k}": F.expr(spans_of(f"__w_{k}")) for k in WIDE})
-    base = ", ".join(f"transform(__b_{k}, x -> named_struct('k', {i}, 's', x.s, 'e', x.e))" for i, k in enumerate(BASE))
-    df = df.withColumn("base", F.expr(f"concat({base})"))
-    free = "not exists(base, b -> b.s < x.e and x.s < b.e)"
-    cands = ", ".join(f"transform(filter(__w_{k}, x -> {free}), x -> {features_sql(KINDS.index(k.split('_')[0]))})" for k in WIDE)
-    return df.withColumn("cands", F.expr(f"concat({cands})")).drop("digit", *[f"__b_{k}" for k in BASE], *[f"__w_{k}" for k in WIDE])
+    """row (a struct of the columns of docs), text (null: empty), base (spans of each base kind), cands (features of candidates)."""
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    df = df.withColumn("digit", F.col("text").rlike("[0-9]"))
+    df = df.withColumns({f"b_{k}": F.expr(finds("text", p, NEEDS[k])) for k, p in BASE.items()} | {f"w_{k}": F.expr(finds("text", p, WIDE_NEEDS[k])) for k, p in WIDE.items()})
+    df = df.withColumns({f"b_{k}": F.expr(f"filter({spans_of(f'b_{k}')}, x -> {VALID[k]})") for k in BASE} | {f"w_{k}": F.expr(spans_of(f"w_{k}")) for k in WIDE})
+    base = ", ".join(f"transform(b_{k}, x -> named_struct('k', {i}, 's', x.s, 'e', x.e))" for i, k in enumerate(BASE))
+    wide = ", ".join(f"transform(w_{k}, x -> cast(named_struct('s', x.s, 'e', x.e, 'base', 0, 'kind', {KINDS.index(k.split('_')[0])}, 't', x.t, 'b', x.b, 'a', x.a) as {ITEM}))" for k in WIDE)
+    df = df.select("row", "text", F.expr(f"concat({base})").alias("base"), F.expr(f"concat({wide})").alias("wide"))
+    df = df.withColumn("clear", F.expr(clear_of_base()))
+    return df.select("row", "text", "base", F.expr(f"transform(clear, x -> {features_sql()})").alias("cands"))
 
 
 # --- labelled samples ------------------------------------------------------------------------------------------
@@ -273,7 +301,7 @@ def labelled(spark: SparkSession, samples: int = SAMPLES, seed: int = 7) -> list
     made = [sample(rng) for _ in range(samples)]
     rows = json.dumps([{"i": i, "text": t, "a": a, "b": b, "truth": g} for i, (t, a, b, g) in enumerate(made)], ensure_ascii=False)
     texts = spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(rows), "array<struct<i:int,text:string,a:int,b:int,truth:int>>")))
-    found = candidates(texts).select("i", "a", "b", "truth", F.explode("cands").alias("x")).select("i", "a", "b", "truth", "x.*").collect()
+    found = candidates(texts).select("row.*", F.explode("cands").alias("x")).select("i", "a", "b", "truth", "x.*").collect()
     x = np.array([[r[f] for f in FEATURES] for r in found], np.int64)
     y = np.array([r.kind == r.truth and 2 * (min(r.e, r.b) - max(r.s, r.a)) >= max(r.e, r.b) - min(r.s, r.a) for r in found], np.float64)
     held = np.array([r.i % 3 == 0 for r in found])
@@ -311,14 +339,22 @@ def train(spark: SparkSession, samples: int = SAMPLES, seed: int = 7) -> Model:
 
 
 def detect(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs, text null-free, and: base, found (the model's spans); both array<struct<k,s,e>>, k an index of KINDS."""
+    """row (a struct of the columns of docs), text (null: empty), base, found (the model's spans); both array<struct<k,s,e>>, k an index of KINDS."""
     model = model or train(docs.sparkSession)
-    df = candidates(docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    scored = f"filter(transform(cands, x -> named_struct('k', x.kind, 's', x.s, 'e', x.e, 'o', {model.odds_sql()}, 'c', {model.threshold_sql()})), x -> x.o >= x.c)"
-    df = df.withColumn("__kept", F.expr(f"if(size(cands) = 0, null, {scored})"))
-    clear = "not exists(__kept, z -> z.s < x.e and x.s < z.e and (z.o > x.o or z.o = x.o and (z.k < x.k or z.k = x.k and z.s < x.s)))"
-    found = f"coalesce(array_distinct(transform(filter(__kept, x -> {clear}), x -> named_struct('k', x.k, 's', x.s, 'e', x.e))), cast(array() as array<struct<k:int,s:int,e:int>>))"
-    return df.withColumn("found", F.expr(found)).drop("__kept", "cands")
+    df = candidates(docs)
+    scored = f"filter(transform(cands, x -> named_struct('s', x.s, 'e', x.e, 'k', x.kind, 'o', {model.odds_sql()}, 'c', {model.threshold_sql()})), x -> x.o >= x.c)"
+    df = df.select("row", "text", "base", F.expr(f"if(size(cands) = 0, null, array_sort({scored}))").alias("likely"))
+    swept = scan(
+        f"concat(transform(likely, x -> cast(named_struct('k', x.k, 's', x.s, 'e', x.e, 'o', x.o) as {KEPT})), array(cast(named_struct('k', -1, 's', 2147483647, 'e', 2147483647, 'o', 0.0D) as {KEPT})))",
+        "named_struct('k', -1, 's', -1, 'e', -1, 'o', 0.0D)",
+        "if(x.s < acc.z.e and x.o <= acc.z.o, acc.z, x)",
+        "if(x.s < acc.z.e, null, acc.z)",
+        KEPT,
+        KEPT,
+    )
+    none = "cast(array() as array<struct<k:int,s:int,e:int>>)"
+    found = f"if(size(likely) > 0, transform(filter({swept}, x -> x is not null and x.k >= 0), x -> named_struct('k', x.k, 's', x.s, 'e', x.e)), {none})"
+    return df.select("row", "text", "base", F.expr(found).alias("found"))
 
 
 def joined(spans: str) -> str:
@@ -333,20 +369,27 @@ def report(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     df = detect(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     counts = [F.expr(f"cast(size(filter(base, x -> x.k = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(BASE)]
-    return df.select("doc_id", *counts, F.sha2(F.expr(joined("base")), 256).alias("base_sha256"), F.expr(joined("concat(base, found)")).alias("spans"), F.size("found").cast("long").alias("n_found"))
+    return df.select("row.doc_id", *counts, F.sha2(F.expr(joined("base")), 256).alias("base_sha256"), F.expr(joined("concat(base, found)")).alias("spans"), F.size("found").cast("long").alias("n_found"))
+
+
+def part(a: str, b: str) -> str:
+    """SQL: characters a to b (exclusive) of the text whose segments are `segs`."""
+    first, last = f"cast({a} div {SEGMENT} as int)", f"cast(({b} - 1) div {SEGMENT} as int)"
+    return f"""case when {b} <= {a} then '' when {first} = {last} then substring(segs[{first}], {a} % {SEGMENT} + 1, {b} - {a})
+      else concat(substring(segs[{first}], {a} % {SEGMENT} + 1), array_join(slice(segs, {first} + 2, {last} - {first} - 1), ''), substring(segs[{last}], 1, ({b} - 1) % {SEGMENT} + 1)) end"""
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs with every span of text replaced by its kind in brackets; spans that overlap become one. A null text stays null.
 
-    doc columns named base, found, cands or digit are not carried.
+    All columns are carried, whatever their names.
     """
-    names = docs.columns
-    df = detect(docs.withColumn("__null", F.col("text").isNull()), model)
+    df = detect(docs, model)
     tags = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    order = "array_sort(transform(concat(base, found), x -> named_struct('s', x.s, 'e', x.e, 'k', x.k)))"
-    out = f"""if(size(base) + size(found) = 0, text, aggregate({order}, named_struct('at', 0, 'out', ''),
-      (acc, x) -> if(x.s >= acc.at, named_struct('at', x.e, 'out', concat(acc.out, substring(text, acc.at + 1, x.s - acc.at), array({tags})[x.k])),
-        named_struct('at', greatest(acc.at, x.e), 'out', acc.out)),
-      acc -> concat(acc.out, substring(text, acc.at + 1))))"""
-    return df.withColumn("text", F.when(F.col("__null"), F.lit(None)).otherwise(F.expr(out))).select(*names)
+    spans = "array_sort(transform(concat(base, found), x -> named_struct('s', x.s, 'e', x.e, 'k', x.k)))"
+    df = df.select("row", "text", F.expr(f"if(size(base) + size(found) = 0, null, {spans})").alias("spans"))
+    df = df.withColumn("segs", F.expr(f"if(spans is null, null, regexp_extract_all(text, r'(?s).{{1,{SEGMENT}}}', 0))"))
+    shown = scan("spans", "0", "greatest(acc.z, x.e)", f"if(x.s >= acc.z, concat({part('acc.z', 'x.s')}, array({tags})[x.k]), '')", "int", "string")
+    end = "array_max(transform(spans, x -> x.e))"
+    made = F.expr(f"if(spans is null, text, concat(array_join({shown}, ''), {part(end, 'length(text)')}))")
+    return df.select(*[F.when(F.col("row.text").isNotNull(), made).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

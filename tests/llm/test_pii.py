@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -103,3 +104,37 @@ def test_redaction_replaces_every_span(spark, model):
     got = {r.doc_id: r for r in X.redact(df.withColumnRenamed("found", "source"), model).collect()}
     assert got[1].text == "mail [EMAIL] or [PHONE]!" and got[2].text is None and got[3].text == "nothing" and got[4].text == "🙂 [IP]🙂"
     assert not re.search("[0-9]", got[5].text)
+
+
+def test_redaction_equals_cutting_by_the_spans(spark, model):
+    texts = [t for t in ODD if t] + ["x" * 4090 + " +49 30 1234567 " + "é" * 9000 + " a@b.cd", "1.1.1.1 call (415) 555-0199 " * 900]
+    df = spark.createDataFrame([(i, t, 0, 0, 0) for i, t in enumerate(texts)], "doc_id long, text string, base int, row int, segs int")
+    spans = {r.doc_id: r.spans for r in X.report(df, model).collect()}
+    got = {r.doc_id: r for r in X.redact(df, model).collect()}
+    assert X.redact(df, model).columns == df.columns and all((r.base, r.row, r.segs) == (0, 0, 0) for r in got.values())
+    for i, t in enumerate(texts):
+        order = {k: j for j, k in enumerate(X.KINDS)}
+        found = sorted((int(a), int(b), order[k]) for k, a, b in (s.split(":") for s in spans[i].split(",") if s))
+        out, at = "", 0
+        for a, b, k in found:
+            if a >= at:
+                out += t[at:a] + f"[{X.KINDS[k].upper()}]"
+            at = max(at, b)
+        assert got[i].text == out + t[at:], t[:50]
+
+
+def test_model_spans_never_overlap(spark, model):
+    df = spark.createDataFrame([(1, "pay 4111 1111 1111 1111 call 415 555 0199 415 555 0199 0301 555 0199 DE44 5001 0517 5407 3249 31 12.34.56.78 " * 50)], "doc_id long, text string")
+    r = X.detect(df, model).select("base", "found").first()
+    found = sorted((x.s, x.e) for x in r.found)
+    assert found and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+    assert all(b.e <= s or e <= b.s for s, e in found for b in r.base)
+
+
+def test_dense_texts_cost_by_their_length(spark, model):
+    text = "1.1.1.1 or (415) 555-0199, " * 40_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    t = time.time()
+    r = X.report(df, model).first()
+    assert r.n_ip == 40_000 and r.n_found >= 39_000 and X.redact(df, model).selectExpr("length(text) as n").first().n < len(text)
+    assert time.time() - t < 40
