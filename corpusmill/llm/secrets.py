@@ -113,11 +113,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def model_spans(text: str, base: list[tuple[int, int, int]], model: Model) -> list[tuple[int, int, int]]:
-    out = []
+    """The candidates that overlap no base span (sorted by start) and score enough; candidates and spans are passed once."""
+    out, i, reach = [], 0, 0  # reach: how far the base spans that begin before a candidate's end go
     for m in CANDIDATE.finditer(text):
-        if any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        if model.score(m[0]) > model.threshold:
+        while i < len(base) and base[i][0] < m.end():
+            reach = max(reach, base[i][2])
+            i += 1
+        if reach <= m.start() and model.score(m[0]) > model.threshold:
             out.append((m.start(), 3, m.end()))
     return out
 
