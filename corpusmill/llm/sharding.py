@@ -1,7 +1,9 @@
 """Shards along a Hilbert curve through metadata space, with DataFrame and SQL functions alone.
 
-Metadata columns are quantised to 2^BITS cells each at their own quantiles, so a
-hot value takes one cell and the others keep their resolution. The cell's index
+Metadata columns are quantised to 2^BITS cells each: numbers at their own
+quantiles, strings by their rank among the column's values, whole and in order,
+or by quantiles where there are more values than cells. A hot value takes one
+cell and the others keep their resolution. The cell's index
 on a Hilbert curve orders the rows; runs of the order are cut into shards. Rows
 of a shard then span few cells in every dimension, and a filter on any of them
 skips most shards by their minima and maxima.
@@ -13,6 +15,7 @@ the partitions before. No task holds a cell, however many rows it has.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
@@ -78,24 +81,48 @@ def hilbert(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*steps), start, step, lambda acc: acc["h"])
 
 
-def number_of(column: Column) -> Column:
-    """A string as a number that sorts like its first six bytes; null sorts first."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(column.cast("string"), "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double"), F.lit(-1.0))
+def text_bounds(df: DataFrame, column: str, cells: int) -> list[str]:
+    """At most cells - 1 values that part the column's values, in their order: all of them but the first if there are no
+    more, else those in which a further share 1 / cells of the rows is reached. Null comes before all."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v")).agg(F.count("*").alias("n"))
+    few = sorted(r.v for r in counts.select("v").limit(cells + 1).collect())
+    if len(few) <= cells:
+        return few[1:]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(counts.repartitionByRange(parts, "v").withColumn("p", F.spark_partition_id()))
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("p").agg(F.sum("n").alias("n"))  # one row a partition
+    starts = sums.select("p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy()).alias("all"))
+    inside = Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    at = placed.join(F.broadcast(starts), "p").withColumn("lo", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    share = lambda x: F.floor(x * cells / F.col("all"))
+    reached = at.where(share(F.col("lo") + F.col("n")) > share(F.col("lo")))
+    return [r.v for r in reached.select("v").orderBy("v").limit(cells - 1).collect()]
 
 
 def _above(value: Column, bound: Column) -> Column:
     return value > bound
 
 
-def quantised(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """df with each numeric column of dims replaced by its cell: how many of its 2^bits - 1 quantiles lie below it."""
+def _from(value: Column, bound: Column) -> Column:
+    return value >= bound
+
+
+def quantised(df: DataFrame, dims: list[str], texts: list[str] = (), bits: int = BITS) -> Callable[[DataFrame], DataFrame]:
+    """A function that replaces the columns of rows like df's by their cells: a number by how many of df's 2^bits - 1
+    quantiles lie below it, a string by how many of the bounds of df's values it reaches."""
     shares = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
     found = df.agg(*[F.percentile_approx(d, shares, F.lit(10_000)).alias(d) for d in dims]).first()
     out = {}
     for d in dims:
         bounds = F.array(*[F.lit(float(x)) for x in found[d] or [0.0]])
         out[d] = F.size(F.filter(bounds, partial(_above, F.col(d))))
-    return df.withColumns(out)
+    for d in texts:
+        found_bounds = text_bounds(df, d, 1 << bits)
+        bounds = F.array(*[F.lit(x) for x in found_bounds]).cast("array<string>")
+        apart = (1 << bits) // (len(found_bounds) + 1)  # few values spread over all cells, so that the curve parts them first
+        out[d] = F.size(F.filter(bounds, partial(_from, F.coalesce(F.col(d), F.lit(""))))) * apart
+    return lambda rows: rows.withColumns(out)
 
 
 def ranked(df: DataFrame, keys: list[str], parts: int | None = None) -> tuple[DataFrame, int]:
@@ -110,33 +137,53 @@ def ranked(df: DataFrame, keys: list[str], parts: int | None = None) -> tuple[Da
     return out.drop("p", "before", "__id"), placed.count()
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, law: str = "rows") -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard (null), curve, for every document.
+#: What orders the rows: all are whole numbers, a null id before all others.
+ORDER = ["curve", "text_crc32", "id", "size"]
 
-    Dimensions: source, language and size. law "rows": shards' numbers of rows are at most one apart; "bytes": a row
-    goes to the shard in which the middle of its bytes falls, so sizes differ by about a row. Null texts have no bytes
-    and the checksum of the empty text; null sources and languages take the first cell. Repeated rows are rows.
-    """
-    if law not in ("rows", "bytes"):
-        raise ValueError(f"law {law!r}: the curve keeps rows or bytes")
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """Id, size, checksum and dimensions of every document, and __row if it is there."""
     data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        doc_id.alias("doc_id"),
+        F.coalesce(doc_id, F.lit(-(2**63))).alias("id"),
         (F.octet_length(data) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
-        number_of(F.col("source")).alias("d0"),
-        number_of(F.col("lang")).alias("d1"),
+        F.col("source").cast("string").alias("d0"),
+        F.col("lang").cast("string").alias("d1"),
+        *[c for c in docs.columns if c == "__row"],
     ).withColumn("d2", F.col("size").cast("double"))
-    base = cut(base)  # narrow; the quantiles, the bounds of the ranges and the rows come from one reading of the texts
-    cells = quantised(base, ["d0", "d1", "d2"])
-    rows = cells.select("doc_id", "size", "text_crc32", hilbert([F.col("d0"), F.col("d1"), F.col("d2")]).alias("curve"))
-    out, total = ranked(rows, ["curve", "text_crc32", "doc_id", "size"])
+
+
+def _placed(docs: DataFrame, shards: int, law: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(rows with shard and slot; a function that adds the curve to measured rows)."""
+    if law not in ("rows", "bytes"):
+        raise ValueError(f"law {law!r}: the curve keeps rows or bytes")
+    base = cut(_measured(docs))  # narrow; the quantiles, the bounds of the ranges and the rows come from one reading of the texts
+    cell = quantised(base, ["d2"], ["d0", "d1"])
+
+    def curved(df: DataFrame) -> DataFrame:
+        return cell(df).withColumn("curve", hilbert([F.col("d0"), F.col("d1"), F.col("d2")])).drop("d0", "d1", "d2")
+
+    out, total = ranked(curved(base), ORDER)
     if law == "rows":
         out = out.withColumn("shard", F.expr(f"cast(rank * {shards} div {max(total, 1)} as int)"))
         first = F.expr(f"(cast(shard as long) * {max(total, 1)} + {shards - 1}) div {shards}")
         out = out.withColumn("slot", F.col("rank") - first)
     else:
         out = by_bytes(out, shards)
+    return out, curved
+
+
+def assign(docs: DataFrame, shards: int = SHARDS, law: str = "rows") -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard (null), curve, for every document.
+
+    Dimensions: source, language and size. law "rows": shards' numbers of rows are at most one apart; "bytes": a row
+    goes to the shard in which the middle of its bytes falls, so sizes differ by about a row. Null texts have no bytes
+    and the checksum of the empty text; null sources and languages take the first cell. Repeated rows are rows.
+    """
+    out, _ = _placed(docs, shards, law)
     return out.select("doc_id", "size", "text_crc32", F.lit(law).alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
@@ -155,6 +202,16 @@ def by_bytes(rows: DataFrame, shards: int, chunk: int = 4096) -> DataFrame:
 
 
 def write(docs: DataFrame, path: str, shards: int = SHARDS, law: str = "rows") -> None:
-    """The documents as Parquet under path, a folder for each shard, rows in curve order. doc_id is unique and not null."""
-    where = assign(docs, shards, law).select("doc_id", "shard", "slot")
-    docs.join(where, "doc_id").repartition(shards, "shard").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+    """The documents as Parquet under path, a folder for each shard, rows in curve order.
+
+    A row finds its shard by the first row of each shard, so ids may repeat or be null; rows that are alike in curve,
+    checksum, id and size stay together.
+    """
+    placed, cells = _placed(docs, shards, law)
+    firsts = placed.where(F.col("slot") == 0).select("shard", *ORDER).orderBy("shard").collect()  # one row a shard
+    where = _measured(docs.select("*", F.struct("*").alias("__row")))
+    key = F.struct(*ORDER)
+    bounds = F.array(*[F.struct(*[F.lit(r[k]).cast("long").alias(k) for k in ORDER]) for r in firsts])
+    numbers = F.array(*[F.lit(r.shard) for r in firsts])
+    rows = cells(where).withColumn("shard", F.get(numbers, F.size(F.filter(bounds, partial(_from, key))) - 1))
+    rows.repartition(shards, "shard").sortWithinPartitions("shard", *ORDER).select("__row.*", "shard").write.partitionBy("shard").parquet(path)

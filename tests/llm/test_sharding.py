@@ -65,3 +65,23 @@ def test_shards_prune_on_every_dimension(spark, tmp_path):
     assert sum(r.a <= "fr" <= r.b for r in spans) <= 15
     assert sum(r.lo <= 1000 <= r.hi for r in spans) <= 20
     assert sum(r.s <= "src3" <= r.t for r in spans) <= 20
+
+
+def test_strings_have_cells_by_whole_values(spark):
+    few = spark.createDataFrame([("dataset_a",), ("dataset_b",), ("dataset_z",), (None,)], "source string")
+    cells = S.quantised(few.withColumn("n", F.lit(1.0)), ["n"], ["source"])
+    assert len({r.source for r in cells(few.withColumn("n", F.lit(1.0))).where("source is not null").collect()}) == 3
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "https://host/500").otherwise(F.concat(F.lit("https://host/"), (F.col("id") % 997).cast("string"))).alias("source"), F.lit(1.0).alias("n"))
+    got = S.quantised(many, ["n"], ["source"])(many.withColumn("v", F.col("source"))).groupBy("source").agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("source").collect()
+    assert 16 <= len(got) <= 32 and all(a.hi < b.lo for a, b in zip(got, got[1:]))
+    assert sorted(r.c for r in got)[-2] <= 3000 / 32 + 10  # but for the hot one's
+
+
+def test_write_keeps_repeated_and_null_ids(spark, tmp_path):
+    rows = [(i % 7 if i % 3 else None, f"text {i % 50}", f"s{i % 4}", "en", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, size int")
+    S.write(df, str(tmp_path / "out"), shards=8)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    counts = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) <= 300 / 8 + 12
