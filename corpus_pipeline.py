@@ -2,8 +2,9 @@
 
 Stages, each on all that the one before it kept: language ID (documents without
 letters go), toxicity (toxic documents go), near-duplicates (one document of
-each SimHash group stays, if its five-word shingles aren't like an earlier one's), PII (personal data is replaced by its kind), packing (the
-rest, as pieces of sequences). All stages but the last return the columns of
+each SimHash group stays, if its five-word shingles aren't like an earlier
+one's), PII (personal data is replaced by its kind), packing (the rest, as
+pieces of sequences). All stages but the last return the columns of
 documents.
 """
 
@@ -39,11 +40,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps the document of each SimHash group that has the least doc_id; of these, in order of doc_id, those whose
     five-word shingles are less than 0.8 similar to those of every earlier one that stays.
 
-    A row without a doc_id counts as if its text gave it one beyond the others. Rows that repeat a doc_id are one
-    document: of those that would stay, the first by text does.
+    A row without a doc_id, or whose doc_id another row has, counts as if its doc_id and text gave it one beyond the
+    others: rows that repeat a doc_id with other texts are other documents, and of rows alike in both one stays.
     """
-    beyond = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
-    named = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), beyond).alias("__id"))
+    rows = docs.select(*COLUMNS, F.col("doc_id").cast("long").alias("__id"))
+    repeated = cut(rows.groupBy("__id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("__id").isNull()).select("__id"))
+    beyond = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+    if repeated.isEmpty():
+        named = rows
+    else:
+        known = repeated.where(F.col("__id").isNotNull()).withColumn("__more", F.lit(True))
+        named = rows.join(known, "__id", "left").withColumn("__id", F.when(F.col("__more") | F.col("__id").isNull(), beyond).otherwise(F.col("__id"))).select(*COLUMNS, "__id")
     texts = named.select(F.col("__id").alias("doc_id"), "text")
     groups = simhash.near_duplicates(texts)
     first = cut(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
@@ -73,7 +80,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: SQL can't express the learned stages; tests hold run() against brute-force versions.
+#: SQL can't express the learned stages; tests hold each stage's decisions against brute-force versions.
 ORACLE_SQL: str | None = None
 
 
