@@ -3,11 +3,11 @@
 Writing: each text's bytes, padded with spaces to a multiple of WIDTH, become an
 8-bit grey image of WIDTH columns (PNG, lossless), a member of a ZIP archive
 that stores members as they are. Tasks write archives to the shared folder under
-a temporary name and then rename them, so a task that runs again replaces its
-own files.
+a name of the attempt's own and then rename them, so of two attempts of a task,
+which write the same bytes, either may win and neither disturbs the other.
 
-Reading: the source plans byte ranges of each archive from the few bytes that
-end it; a partition reads the archive's directory, takes the members whose
+Reading: the source plans byte ranges of each archive from the folder's listing
+alone; a partition reads the archive's directory, takes the members whose
 headers begin in its range, and streams them as Arrow batches. A member that
 can't be read or fails its checksum is read again by its offset, alone, a few
 times; then it fails the query, or (errors=column) its row tells the error.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .common import blocks, scratch
+from .common import blocks, frugal, scratch
 
 WIDTH, PAD = 192, 32
 ARCHIVE_BYTES, ARCHIVE_MEMBERS = 64 << 20, 60_000
@@ -93,9 +93,9 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 class ArchiveWriter:
     """A ZIP file of stored members, appended one after the other."""
 
-    def __init__(self, store: fs.FileSystem, path: str):
-        self.store, self.path = store, path
-        self.out, self.at, self.directory, self.members = store.open_output_stream(path + ".part"), 0, io.BytesIO(), 0
+    def __init__(self, store: fs.FileSystem, path: str, attempt: int = 0):
+        self.store, self.path, self.part = store, path, f"{path}.{attempt}.part"
+        self.out, self.at, self.directory, self.members = store.open_output_stream(self.part), 0, io.BytesIO(), 0
 
     def add(self, name: str, data: bytes) -> None:
         raw, crc = name.encode(), zlib.crc32(data)
@@ -110,7 +110,7 @@ class ArchiveWriter:
         directory = self.directory.getvalue()
         self.out.write(directory + b"PK\x05\x06" + struct.pack("<HHHHIIH", 0, 0, self.members, self.members, len(directory), self.at, 0))
         self.out.close()
-        self.store.move(self.path + ".part", self.path)
+        self.store.move(self.part, self.path)
 
 
 def write_archives(docs: DataFrame, folder: str) -> int:
@@ -121,12 +121,14 @@ def write_archives(docs: DataFrame, folder: str) -> int:
 
     def run(batches):
         store, root = filesystem(folder)
-        part, k, row, writer = TaskContext.get().partitionId(), 0, 0, None
+        frugal()
+        task = TaskContext.get()
+        part, k, row, writer = task.partitionId(), 0, 0, None
         for batch in batches:
             for some in blocks(batch, "text"):
                 for doc_id, text in zip(*(c.to_pylist() for c in some.columns)):
                     if writer is None:
-                        writer, k = ArchiveWriter(store, f"{root}/part-{part:06d}-{k:04d}.zip"), k + 1
+                        writer, k = ArchiveWriter(store, f"{root}/part-{part:06d}-{k:04d}.zip", task.taskAttemptId()), k + 1
                     writer.add(f"{'null' if doc_id is None else doc_id}/{row}.png", to_image(text.encode()))
                     row += 1
                     if writer.at >= ARCHIVE_BYTES or writer.members >= ARCHIVE_MEMBERS:
@@ -181,10 +183,8 @@ class ArchiveReader(DataSourceReader):
         out = []
         for f in sorted(store.get_file_info(fs.FileSelector(root)), key=lambda f: f.path):
             if f.path.endswith(".zip"):
-                with store.open_input_file(f.path) as file:
-                    _, end, _ = _end(file, f.size)
-                n = max(1, -(-end // self.split))
-                out += [ByteRange(f.path, f.size, end * i // n, end * (i + 1) // n) for i in range(n)]
+                n = max(1, -(-f.size // self.split))
+                out += [ByteRange(f.path, f.size, f.size * i // n, f.size * (i + 1) // n) for i in range(n)]
         return out or [ByteRange("", 0, 0, 0)]
 
     def _fetch(self, store, path: str, offset: int, size: int, crc: int) -> bytes:

@@ -74,5 +74,18 @@ def test_members_are_tried_again_alone(tmp_path):
     assert reader._fetch(Flaky(), part.archive, offset, size, crc) == M.to_image(b"abcabc")
 
 
+def test_two_attempts_of_a_task_do_not_mix(tmp_path):
+    store, root = M.filesystem(f"file://{tmp_path}")
+    a, b = (M.ArchiveWriter(store, f"{root}/x.zip", k) for k in (1, 2))
+    for w in (a, b):
+        w.add("1/0.png", M.to_image(b"same"))
+    a.close()
+    b.close()
+    assert [p.name for p in tmp_path.iterdir()] == ["x.zip"]
+    import zipfile
+
+    assert zipfile.ZipFile(tmp_path / "x.zip").testzip() is None
+
+
 def test_scratch_is_shared(spark):
     assert scratch(spark, "media") != scratch(spark, "media")
