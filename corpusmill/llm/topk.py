@@ -134,15 +134,16 @@ def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, best: Best) -> int:
             leaves += 1
             a, z = tree.first[node], tree.last[node]
             scores, their = v[a:z] @ q[i], tree.ids[a:z]
+            if (their == own).any():  # before the greatest are taken: a repeated row has its own id more than once
+                scores, their = scores[their != own], their[their != own]
             if bar is not None:
                 some = np.flatnonzero(scores >= bar)
-            elif z - a > 4 * best.k:
-                some = np.flatnonzero(scores >= np.partition(scores, -best.k - 1)[-best.k - 1]) if kind is np.float64 else np.arange(z - a)
+            elif len(scores) > 4 * best.k and kind is np.float64:
+                some = np.flatnonzero(scores >= np.partition(scores, -best.k)[-best.k])
             else:
-                some = np.arange(z - a)
+                some = np.arange(len(scores))
             for j in some.tolist():
-                if their[j] != own:
-                    best.offer(i, int(scores[j]), int(their[j]))
+                best.offer(i, int(scores[j]), int(their[j]))
     return leaves
 
 

@@ -52,3 +52,13 @@ def test_bounds_are_tight_and_leaves_are_skipped():
             assert (tree.low[node] == rows.min(0)).all() and (tree.high[node] == rows.max(0)).all()
     read = T.search(tree, np.arange(20), v[:20], T.Best(20, 5))
     assert read < 0.8 * 20 * sum(x < 0 for x in tree.left)
+
+
+def test_repeated_rows_of_a_query_hide_no_neighbour(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-40, 41, 5) / 256]) for i in range(1, 90)] + [(100, [1.0] * 5)] * 9
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    mine = sorted((r.rank, r.vec_id) for r in T.top_k(df, df.where("vec_id = 100")).collect())
+    q = np.floor(256 * np.ones(5)).astype(int)
+    want = sorted(((-int(q @ np.floor(256 * np.array(v)).astype(int)), i) for i, v in rows if i != 100))[:5]
+    assert mine == [(k + 1, i) for k, (_, i) in enumerate(want)]
