@@ -8,11 +8,16 @@ that correlated bits stay together; each fingerprint gets thresholds t_1..t_m
 with sum r - m + 1 from a dynamic programme over estimated candidate counts, and
 probes the index of partition i with every value within t_i of its own (-1: it
 does not probe there). Two fingerprints within r must agree within t_i in some
-partition, so no link is lost. A fingerprint for which every allocation is too
-dear takes the exact way for crowded regions instead: it posts its 65 one-bit
-neighbours as keys. Two fingerprints within 2 bits share such a key, and those
-that share one are within 2 bits, so every key links its holders to the least of
-them: 65 rows for a fingerprint, never pairs within a group.
+partition, so no link is lost. There are three partitions, and two of 32 bits
+from MANY fingerprints on, so that buckets stay small as the corpus grows.
+
+A fingerprint takes the exact way for crowded regions instead where every
+allocation is too dear by the estimate, where it lies in a bucket that really
+holds more than DEAR fingerprints, or where it would probe such a bucket: it
+posts its 65 one-bit neighbours as keys. Two fingerprints within 2 bits share
+such a key, and those that share one are within 2 bits, so every key links its
+holders to the least of them: 65 rows for a fingerprint, never pairs within a
+group. Buckets that hold more are never joined.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ from .common import cut, over_batches, sole
 
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 SEED, BITS, STRIDE = 42, 64, 200_000
-#: Estimated work of the cheapest allocation (probes and candidates) above which a fingerprint posts neighbour keys.
+#: Estimated work of the cheapest allocation (probes and candidates), and true size of a bucket, above which neighbour keys are posted.
 DEAR = 256.0
+#: Distinct fingerprints from which two partitions are cheaper than three: 3 * 2^-21 candidates each then exceed 34 probes.
+MANY = 1 << 24
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -217,10 +224,10 @@ def allocate(cost: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return out, best[spend]
 
 
-def links(nodes: DataFrame, radius: int = 2, m: int = 3, dear: float = DEAR) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 2, m: int | None = None, dear: float = DEAR) -> DataFrame:
     """Edges (a, b), a < b, that connect distinct fingerprints exactly as all pairs within radius would.
 
-    nodes: one column fp, distinct. Every pair within radius is an edge unless both its ends lie in a crowded
+    nodes: one column fp, distinct. m: how many partitions, chosen by MANY if not given. Every pair within radius is an edge unless both its ends lie in a crowded
     region; there a path of edges joins them. radius 2 is the only one with the exact way for crowded regions.
     """
     assert radius == 2, "crowded regions are solved for a radius of 2"
@@ -239,6 +246,7 @@ def links(nodes: DataFrame, radius: int = 2, m: int = 3, dear: float = DEAR) ->
             total = c
         else:
             counts[k // BITS, k % BITS] = counts[k % BITS, k // BITS] = c
+    m = m or (3 if total < MANY else 2)
     groups = group_bits(counts, total, m)
     low = [len(g) // 2 for g in groups]
 
@@ -298,42 +306,47 @@ def links(nodes: DataFrame, radius: int = 2, m: int = 3, dear: float = DEAR) ->
 
     made = over_batches(nodes.select("fp"), probes, pa.schema([("kind", pa.int32()), ("v", pa.int64()), ("q", pa.int64())]), "kind int, v long, q long")
     held = over_batches(nodes.select("fp"), index, pa.schema([("kind", pa.int32()), ("v", pa.int64()), ("x", pa.int64())]), "kind int, v long, x long")
+    full = cut(held.groupBy("kind", "v").agg(F.count("*").alias("n")).where(F.col("n") > dear).select("kind", "v"))
+    probed, keys = made.where(F.col("kind") < m), made.where(F.col("kind") == m).select("v", "q")
+    if not full.isEmpty():
+        inside = held.join(full, ["kind", "v"], "left_semi").select(F.col("x").alias("q"))
+        beside = probed.join(full, ["kind", "v"], "left_semi").select("q")
+        crowd = inside.unionByName(beside).distinct()
+        neighbours = F.transform(F.array(*[F.lit(int(x)) for x in ball.view(np.int64)]), lambda b: F.col("q").bitwiseXOR(b))
+        keys = keys.unionByName(crowd.select(F.explode(neighbours).alias("v"), "q"))
+        probed = probed.join(full, ["kind", "v"], "left_anti")
     near = (
-        made.where(F.col("kind") < m)
-        .join(held, ["kind", "v"])
+        probed.join(held, ["kind", "v"])
         .where((F.col("q") != F.col("x")) & (F.bit_count(F.col("q").bitwiseXOR(F.col("x"))) <= radius))
         .select(F.least("q", "x").alias("a"), F.greatest("q", "x").alias("b"))
     )
-    keys = made.where(F.col("kind") == m).select("v", "q")
     crowded = keys.join(keys.groupBy("v").agg(F.min("q").alias("least")), "v").where(F.col("q") != F.col("least")).select(F.col("least").alias("a"), F.col("q").alias("b"))
     return near.unionByName(crowded).distinct()
 
 
-def stars(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def stars(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, root), root the least node; roots have no row.
 
-    Alternating star contraction: each round is two aggregations and joins; edges are cut by a checkpoint each round,
-    and rounds end when a round changes nothing.
+    Alternating star contraction: each round is two aggregations and joins, and rounds end when a round changes
+    nothing. Edges and the aggregates are cut by a checkpoint each round, so that joins on a hub read both their sides
+    from shuffles that Spark can split.
     """
     e = cut(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     seen = None
-    for _ in range(rounds):
+    while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("l")).select("a", F.least("a", "l").alias("l"))
-        large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("l").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
-        down = large.groupBy("b").agg(F.min("a").alias("l"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("l")).select("a", F.least("a", "l").alias("l")))
+        large = cut(both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("l").alias("a"), "b").where(F.col("a") != F.col("b")).distinct())
+        down = cut(large.groupBy("b").agg(F.min("a").alias("l")))
         small = large.join(down, "b").select(F.col("l").alias("a"), F.explode(F.array("a", "b")).alias("b")).where(F.col("a") != F.col("b")).distinct()
         e = cut(small)
         state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
-            break
+            return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
         seen = state
-    else:
-        raise RuntimeError("components did not settle")
-    return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = 2, m: int = 3, dear: float = DEAR) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 2, m: int | None = None, dear: float = DEAR) -> DataFrame:
     """One row per document: doc_id, fp (signed), component_id.
 
     Null, empty and word-free texts have fingerprint zero and link like any other. A null doc_id has a row; it never
@@ -344,7 +357,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, m: int = 3, dear: float =
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     star = stars(links(nodes, radius, m, dear))
     members = star.unionByName(star.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "fp").join(nodes, "fp")
-    least = members.groupBy("root").agg(F.min("rep").alias("component_id"))
+    least = cut(members.groupBy("root").agg(F.min("rep").alias("component_id")))
     linked = members.join(least, "root").select("fp", "component_id")
     # cut, so that the last join reads both its sides from shuffles that Spark can split where a fingerprint is hot
     of = cut(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")))

@@ -71,9 +71,9 @@ def test_links_in_crowded_and_sparse_regions(spark):
             for b in rng.sample(range(64), rng.randint(0, 4)):
                 x ^= 1 << b
             fps.add(x)
-    for dear in (0.0, 70.0, 1e18):
+    for dear, m in ((0.0, 3), (8.0, 3), (70.0, 3), (1e18, 3), (20.0, 2), (1e18, 2)):
         nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
-        edges = [(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in simhash.links(nodes, dear=dear).collect()]
+        edges = [(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in simhash.links(nodes, dear=dear, m=m).collect()]
         assert all(bin(a ^ b).count("1") <= 2 for a, b in edges)
         parent = {f: f for f in fps}
 
@@ -102,3 +102,9 @@ def test_allocation_spends_the_radius():
     assert (t.sum(0) == 2 - 4 + 1).all() and t.min() >= -1
     paid = sum(np.where(t[i] >= 0, cost[i][np.maximum(t[i], 0), np.arange(50)], 0) for i in range(4))
     assert np.allclose(paid, w)
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)]
+    roots = {r.node: r.root for r in simhash.stars(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert roots == {i: 0 for i in range(1, 301)} | {1000 + i: 1000 for i in range(1, 400)}
