@@ -266,9 +266,10 @@ def lexicon(train: DataFrame, contexts: int = CONTEXTS, odds: float = ODDS) -> d
     around = F.expr("transform(w, (x, i) -> struct(x as w, xxhash64(if(i > 0, w[i - 1], ''), if(i + 1 < size(w), w[i + 1], '')) as c))")
     each = tokens.select("toxic", "d", F.explode(around).alias("t")).select("toxic", "d", "t.w", "t.c")
     seen = each.groupBy("toxic", "w", "c").agg(F.min("d").alias("d"))
-    stems = F.expr(f"transform(filter(array{STEMS}, k -> k < length(w)), k -> concat(left(w, k), '*'))")
-    by_text = seen.groupBy("w", "toxic", "d").agg(F.count("*").alias("c")).select(F.explode(F.concat(F.array("w"), stems)).alias("w"), "toxic", "d", "c").groupBy("w", "toxic", "d").agg(F.sum("c").alias("c"))
-    counted = by_text.groupBy("w").agg(F.sum(F.when(F.col("toxic") == 1, F.col("c")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("c")).otherwise(0)).alias("n"), F.count_if(F.col("toxic") == 1).alias("texts"))
+    bad = F.col("toxic") == 1
+    words = seen.groupBy("w").agg(F.count_if(bad).alias("t"), F.count_if(~bad).alias("n"), F.collect_set(F.when(bad, F.col("d"))).alias("d"))  # texts of the sample at most
+    units = F.expr(f"concat(array(w), transform(filter(array{STEMS}, k -> k < length(w)), k -> concat(left(w, k), '*')))")
+    counted = words.select(F.explode(units).alias("w"), "t", "n", "d").groupBy("w").agg(F.sum("t").alias("t"), F.sum("n").alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("d")))).alias("texts"))
     totals = each.groupBy("toxic").count().collect()
     of = {r.toxic: r["count"] for r in totals}
     if not of.get(1):
