@@ -5,8 +5,8 @@ configuration linear programme over it (a configuration: a multiset of lengths
 that fits a sequence) is solved by multiplicative weights: each length has a
 price, a knapsack dynamic programme finds the dearest configuration, and the
 prices of the lengths that it covers fall. The configurations are rounded to
-whole numbers of sequences with one or two places left open, whose room is
-filled to the end; what is left over is placed best fit first. All
+whole numbers of sequences with a few places left open and their room filled,
+in several ways of which the best holds; what is left over is placed best fit first. All
 of this works on counts, so its cost depends on the histogram and not on the
 number of documents; the plan is a bounded table that tells the r-th piece of a
 length its sequence and offset.
@@ -33,8 +33,9 @@ CAPACITY, END = 4096, 1
 BLOCK = 5 << 20
 #: Lengths count as multiples of GRAIN in the programme; rounds of multiplicative weights and their step.
 GRAIN, ROUNDS, STEP = 32, 2000, 0.3
-#: The solution is rounded with so many places of each configuration left open; the rounding with fewer sequences holds.
-SPARE = (1, 2)
+#: The solution is rounded with so many places of each configuration left open, and their room filled to the end where
+#: that can be, or by the longest that fit; the rounding with fewest sequences holds.
+ROUNDINGS = ((1, True), (2, True), (1, False), (2, False), (3, False))
 
 
 # --- tokens ----------------------------------------------------------------------------------------------------
@@ -65,39 +66,45 @@ class WordCache(WordIds):
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         numbered = words.flatten().dictionary_encode()
         distinct = numbered.dictionary.to_pylist()
-        if new := set(distinct) - self.index.keys():
-            self.learn(new)
-        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
-        return at[numbered.indices.to_numpy(zero_copy_only=False)], counts
-
-    def learn(self, new: set[str]) -> None:
-        words = list(new)
-        body = pc.ascii_rtrim(pa.array(words, pa.string()), characters=".,!?;:#*&%$")
-        low = pc.if_else(pc.string_is_ascii(body), pc.ascii_lower(body), body).to_pylist()
-        alone = [x.isalpha() for x in low]
-        split = [(w, x, w[len(x) :]) for w, x, ok in zip(words, low, alone) if ok and w != x]
-        plain = [w for w, x, ok in zip(words, low, alone) if not ok or w == x]
-        letters = {b for _, b, _ in split} - self.index.keys()
-        letters.update(w for w in plain if w.isalpha())
-        odd = ({t for _, _, t in split} - self.index.keys()).union(w for w in plain if not w.isalpha())
-        self._letters(list(letters))
-        self._others(list(odd))
+        found = list(map(self.index.get, distinct))
+        if None in found:
+            self.learn([w for w, i in zip(distinct, found) if i is None])
+            found = list(map(self.index.__getitem__, distinct))
+        return np.array(found, np.int64)[numbered.indices.to_numpy(zero_copy_only=False)], counts
+
+    def learn(self, new: list[str]) -> None:
+        """Most words are Latin letters and punctuation; Arrow tells them and finds the distinct letters, Python sees the rest."""
+        words = pa.array(new, pa.string())
+        body = pc.ascii_rtrim(words, characters=".,!?;:#*&%$")
+        low = pc.if_else(pc.string_is_ascii(body), pc.ascii_lower(body), body)
+        latin = pc.match_substring_regex(low, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")
+        rest = words.filter(pc.invert(latin)).to_pylist()
+        self._letters([w for w in rest if w.isalpha()])
+        self._others([w for w in rest if not w.isalpha()])
+        bases = low.filter(latin).dictionary_encode()
+        letters = bases.dictionary.to_pylist()
+        self._letters([b for b in letters if b not in self.index])
+        more = pc.and_(latin, pc.not_equal(words, low))
+        split = words.filter(more).to_pylist()
         if split:
-            at = np.array([(self.index[b], self.index[t]) for _, b, t in split]).ravel()
+            tails = [w[n:] for w, n in zip(split, pc.utf8_length(body.filter(more)).to_pylist())]
+            self._others([t for t in set(tails) if t not in self.index])
+            which = bases.indices.filter(pc.not_equal(words, low).filter(latin)).to_numpy(zero_copy_only=False)
+            first = np.fromiter(map(self.index.__getitem__, letters), np.int64, len(letters))[which]
+            at = np.stack([first, np.fromiter(map(self.index.__getitem__, tails), np.int64, len(tails))], 1).ravel()
             size, start = self.size[at], self.start[at]
             ends = np.cumsum(size)
             flat = self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)]
-            self.append([w for w, _, _ in split], size.reshape(-1, 2).sum(1), flat)
-
+            self.append(split, size.reshape(-1, 2).sum(1), flat)
 
     def _letters(self, words: list[str]) -> None:
         """Words of letters are single words to the tokenizer too, so many are encoded as one text and cut at the ends of words."""
         if not words:
             return
-        runs = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+        runs = [" ".join(words[i : i + 2000]) for i in range(0, len(words), 2000)]
         ids = []
-        for i in range(0, len(runs), 32):  # an encoding holds much more than its ids
-            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs[i : i + 32], add_special_tokens=False)]
+        for i in range(0, len(runs), 8):  # an encoding holds much more than its ids
+            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs[i : i + 8], add_special_tokens=False)]
         flat = np.concatenate(ids)
         last = np.flatnonzero(self.closes[flat])
         if len(last) == len(words):
@@ -249,12 +256,12 @@ def best_fit(left: dict[int, int], capacity: int, opened: list[tuple[list[tuple[
     return [(c, t) for same in bins.values() for c, t in same]
 
 
-def rounded(hist: dict[int, int], capacity: int, grain: int, solved: list[tuple[dict[int, int], float]], spare: int) -> tuple[list[tuple[list[tuple[int, int]], int]], dict[int, int]]:
+def rounded(hist: dict[int, int], capacity: int, grain: int, solved: list[tuple[dict[int, int], float]], spare: int, full: bool) -> tuple[list[tuple[list[tuple[int, int]], int]], dict[int, int]]:
     """The solved programme over lengths rounded up to multiples of grain, in whole numbers and true lengths.
 
     Returns opened sequences (configuration, times) and the counts still to be placed. A configuration gives all its
     places but the `spare` smallest, each to the longest length of its class; the room that is left, which rounding up
-    has widened, is filled to the end from all lengths. Those with the longest places come first.
+    has widened, is filled from all lengths (full: to the end where that can be). Those with the longest places come first.
     """
     have = np.zeros(capacity + 1, np.int64)
     have[list(hist)] = list(hist.values())
@@ -274,7 +281,7 @@ def rounded(hist: dict[int, int], capacity: int, grain: int, solved: list[tuple[
                 free[taken[-1]] -= 1
             if len(taken) < len(places):
                 break
-            taken += fill(capacity - sum(taken), free)
+            taken += fill(capacity - sum(taken), free, 24 if full else 0)
             lengths, n = np.unique(taken, return_counts=True)
             most = int(min(left, (have[lengths] // n).min()))
             have[lengths] -= n * most
@@ -299,11 +306,12 @@ def to_the_end(room: int, free: np.ndarray) -> list[int]:
     return [room - int(a[found[-1]]), int(a[found[-1]])] if len(found) else []
 
 
-def fill(room: int, free: np.ndarray, tries: int = 24) -> list[int]:
-    """Lengths for a room, taken from free: those that fill it to the end, after one of the longest if need be."""
+def fill(room: int, free: np.ndarray, tries: int) -> list[int]:
+    """Lengths for a room, taken from free: those that fill it to the end, after one of the `tries` longest if need be;
+    the longest that fit where none do, or tries is 0."""
     taken: list[int] = []
     while room > 0:
-        now = to_the_end(room, free)
+        now = to_the_end(room, free) if tries else []
         if not now:
             fits = np.flatnonzero(free[: room + 1] > 0)
             if not len(fits):
@@ -331,8 +339,8 @@ def plan(hist: dict[int, int], capacity: int = CAPACITY, grain: int = GRAIN, rou
     if left:
         solved = solve(*classes(left, grain), capacity // grain, rounds, step)
         found = []
-        for spare in SPARE:
-            opened, rest = rounded(left, capacity, grain, solved, spare)
+        for spare, full in ROUNDINGS:
+            opened, rest = rounded(left, capacity, grain, solved, spare, full)
             found.append(best_fit(rest, capacity, opened))
         for config, times in min(found, key=lambda f: sum(t for _, t in f)):
             made.add(config, times)

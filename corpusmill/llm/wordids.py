@@ -7,7 +7,7 @@ from itertools import chain
 import numpy as np
 
 #: Words, and characters of words, that a worker remembers before it starts anew.
-REMEMBER, REMEMBER_CHARS = 300_000, 4 << 20
+REMEMBER, REMEMBER_CHARS = 400_000, 6 << 20
 #: Words whose ids are put together at once.
 RUN = 1 << 17
 

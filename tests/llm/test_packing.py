@@ -77,6 +77,16 @@ def test_plan_places_every_piece_once():
         assert made.sequences <= sum(k * v for k, v in hist.items()) / 4096 * 1.02 + 2
 
 
+def test_the_programme_is_no_worse_than_best_fit_alone():
+    rng = np.random.default_rng(7)
+    made = {"long": rng.integers(1000, 2500, 5000), "thirds": rng.integers(1300, 1500, 3000), "mixed": np.concatenate([rng.integers(2, 900, 8000), rng.integers(900, 4096, 1500)])}
+    for name, lengths in made.items():
+        hist = {int(k): int(n) for k, n in zip(*np.unique(lengths, return_counts=True))}
+        alone = sum(t for _, t in packing.best_fit(dict(hist), 4096))
+        used = packing.plan(hist).sequences
+        assert used <= alone and (name == "mixed" or used < alone)
+
+
 def test_knapsack_is_best():
     rng = np.random.default_rng(5)
     for _ in range(20):
