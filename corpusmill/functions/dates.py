@@ -11,22 +11,28 @@ from pyspark.sql import functions as F
 
 from .text import col, squeeze
 
-# Russian month names in the order in which they are replaced.
-RUSSIAN_MONTHS = (
-    "января:January Января:January январь:January Январь:January февраля:February Февраля:February февраль:February "
-    "Февраль:February марта:March Марта:March март:March Март:March апреля:April Апреля:April апрель:April Апрель:April "
-    "мая:May Мая:May май:May Май:May июня:June Июня:June июнь:June Июнь:June июля:July Июля:July июль:July Июль:July "
-    "августа:August Августа:August август:August Август:August сентября:September Сентября:September сентябрь:September "
-    "Сентябрь:September октября:October Октября:October октябрь:October Октябрь:October ноября:November Ноября:November "
-    "ноябрь:November Ноябрь:November декабря:December Декабря:December декабрь:December Декабрь:December"
-)
+# Russian month names in the order in which they are replaced, and the English ones.
+RUSSIAN_MONTHS = {
+    "января": "January", "Января": "January", "январь": "January", "Январь": "January",
+    "февраля": "February", "Февраля": "February", "февраль": "February", "Февраль": "February",
+    "марта": "March", "Марта": "March", "март": "March", "Март": "March",
+    "апреля": "April", "Апреля": "April", "апрель": "April", "Апрель": "April",
+    "мая": "May", "Мая": "May", "май": "May", "Май": "May",
+    "июня": "June", "Июня": "June", "июнь": "June", "Июнь": "June",
+    "июля": "July", "Июля": "July", "июль": "July", "Июль": "July",
+    "августа": "August", "Августа": "August", "август": "August", "Август": "August",
+    "сентября": "September", "Сентября": "September", "сентябрь": "September", "Сентябрь": "September",
+    "октября": "October", "Октября": "October", "октябрь": "October", "Октябрь": "October",
+    "ноября": "November", "Ноября": "November", "ноябрь": "November", "Ноябрь": "November",
+    "декабря": "December", "Декабря": "December", "декабрь": "December", "Декабрь": "December",
+}
 
 ISO = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(?::(\d{2}))?)?(Z|[+-]\d{2}:\d{2})?$"
 
 
-def localised(c: Column | str, months: str = RUSSIAN_MONTHS) -> Column:
+def localised(c: Column | str, months: dict[str, str] = RUSSIAN_MONTHS) -> Column:
     """Month names replaced by English ones, one after the other."""
-    return reduce(lambda t, p: F.replace(t, *map(F.lit, p.split(":"))), months.split(), col(c))
+    return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), months.items(), col(c))
 
 
 def iso(c: Column | str) -> Column:
@@ -38,7 +44,7 @@ def iso(c: Column | str) -> Column:
     return F.when(part(1) != "", F.concat(part(1), F.lit("T"), time, zone))
 
 
-def parsed(c: Column | str, months: str = RUSSIAN_MONTHS, default: str = "2024-01-01", day_first: bool = True) -> Column:
+def parsed(c: Column | str, months: dict[str, str] = RUSSIAN_MONTHS, default: str = "2024-01-01", day_first: bool = True) -> Column:
     """An ISO time, else what a lenient parser makes of the localised text (missing parts from default), else the text."""
     from dateutil import parser
 

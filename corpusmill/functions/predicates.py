@@ -11,10 +11,10 @@ from .text import WS, col, name_tokens, squeeze, words
 # Parts of noise URLs, labels, months and patterns that mark what is no author or category.
 NOISE_PARTS = ("/photo/", "/video/", "/special-projects/", "/widget/", "/tag/list/", "vkvideo", "youtube", "youtu.be", "instagram", "facebook", "telegram", "ok.ru", "/login", "/signup", "/signin", "/register")
 MONTHS = (
-    "январ феврал март апрел мая май июн июл август сентябр октябр ноябр декабр "
-    "january february march april may june july august september october november december "
-    "jan feb mar apr jun jul aug sep oct nov dec"
-).split()
+    "январ", "феврал", "март", "апрел", "мая", "май", "июн", "июл", "август", "сентябр", "октябр", "ноябр",
+    "декабр", "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+    "december", "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "oct", "nov", "dec",
+)
 CONTENT_LABEL = (
     r"(?iu)^\s*(?:партн[её]рск(?:ий|ая|ое|ие)\s+материал|маводи\s+шарикона|спонсорск(?:ий|ая|ое|ие)\s+материал|рекламн(?:ый|ая|ое|ые)\s+материал|реклама|промо"
     r"|advertorial|sponsored(?:\s+content|\s+post)?|partner\s+material|paid\s+post|reading\s+time|time\s+to\s+read|время\s+чтения)\s*$"

@@ -46,8 +46,7 @@ def without_emoji(c: str) -> str:
 
 
 def to_cyrillic(c: str) -> str:
-    for p in DIGRAPHS.split():
-        a, b = p.split(":")
+    for a, b in DIGRAPHS.items():
         c = f"replace({c}, {lit(a)}, {lit(b)})"
     return f"translate({c}, {lit(LATIN)}, {lit(TATAR)})"
 
