@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,8 +21,9 @@ def first_wins(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
     """
     names = df.columns
     rows = df.withColumn("__k", F.sha2(key, 256)).where(F.col("__k").isNotNull())
-    least = rows.groupBy("__k").agg(F.min(F.struct(*order)).alias("__o")).select(*[F.col(f"__o.{o}").alias(o) for o in order])
-    return rows.join(least, order, "left_semi").select(*names)
+    least = rows.groupBy("__k").agg(F.min(F.struct(*order)).alias("__o")).select(*[F.col(f"__o.{o}").alias(f"__{i}") for i, o in enumerate(order)])
+    same = reduce(and_, [F.col(o).eqNullSafe(F.col(f"__{i}")) for i, o in enumerate(order)])  # a null in the order names a row too
+    return rows.join(least, same, "left_semi").select(*names)
 
 
 def corpus_key(url: str = "url", content: str = "content") -> Column:
@@ -84,21 +88,25 @@ def minhash_bands(df: DataFrame, text: str, bands: int = 9, rows: int = 28, widt
     return norm.withColumn("band", run("__t")).drop("__t", text)
 
 
-def greedy_near_duplicates(banded: DataFrame, id_col: str, rounds: int = 30) -> DataFrame:
+def greedy_near_duplicates(banded: DataFrame, id_col: str) -> DataFrame:
     """(id, retained): rows in order of id; a row that shares a band with a retained earlier row is not retained.
 
     A row is settled once all its earlier neighbours are: retained if none of them is retained. Neighbours are found
-    through bands, not listed as pairs: in each round every band passes on its least retained and least open id. Rounds
-    end when no row is open.
+    through bands, not listed as pairs: in each round every band passes on its least retained and least open id. Settled
+    rows leave the bands, which keep only their least retained id, so a round reads what is open. Each round settles the
+    least open id at least, and rounds go on until no row is open.
     """
     keys = banded.select(F.col(id_col).alias("id"), F.explode("band").alias("k")).distinct().checkpoint()
-    state = keys.select("id").distinct().withColumn("s", F.lit(0))  # 0 open, 1 retained, 2 dropped
-    for _ in range(rounds):
-        here = keys.join(state, "id")
-        seen = here.groupBy("k").agg(F.min(F.when(F.col("s") == 1, F.col("id"))).alias("kept"), F.min(F.when(F.col("s") == 0, F.col("id"))).alias("open"))
-        met = here.where(F.col("s") == 0).join(seen, "k").groupBy("id").agg(F.max(F.coalesce(F.col("kept") < F.col("id"), F.lit(False))).alias("hit"), F.max(F.coalesce(F.col("open") < F.col("id"), F.lit(False))).alias("wait"))
-        moved = state.join(met, "id", "left").select("id", F.when(F.col("s") != 0, F.col("s")).when(F.col("hit"), 2).when(~F.col("wait"), 1).otherwise(0).alias("s"))
-        state = moved.checkpoint()
-        if state.where(F.col("s") == 0).isEmpty():
-            return state.select("id", (F.col("s") == 1).alias("retained"))
-    raise RuntimeError(f"near duplicates did not settle in {rounds} rounds")
+    alone = keys.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("k").checkpoint()
+    settled = keys.select("id").distinct().join(keys.join(alone, "k", "left_semi").select("id").distinct(), "id", "left_anti").withColumn("retained", F.lit(True)).checkpoint()
+    keys, kept = keys.join(alone, "k", "left_semi").checkpoint(), None
+    while not keys.isEmpty():
+        first = keys.groupBy("k").agg(F.min("id").alias("open"))
+        first = first.withColumn("kept", F.lit(None).cast(keys.schema["id"].dataType)) if kept is None else first.join(kept, "k", "left")
+        met = keys.join(first.checkpoint(), "k").groupBy("id").agg(F.max(F.coalesce(F.col("kept") < F.col("id"), F.lit(False))).alias("hit"), F.max(F.col("open") < F.col("id")).alias("wait"))
+        now = met.where(F.col("hit") | ~F.col("wait")).select("id", (~F.col("hit")).alias("retained")).checkpoint()
+        settled = settled.unionByName(now).checkpoint()
+        mine = keys.join(now.where("retained").select("id"), "id", "left_semi").groupBy("k").agg(F.min("id").alias("kept"))
+        kept = (mine if kept is None else mine.unionByName(kept).groupBy("k").agg(F.min("kept").alias("kept"))).checkpoint()
+        keys = keys.join(now, "id", "left_anti").checkpoint()
+    return settled.select("id", "retained")

@@ -71,14 +71,13 @@ def word_overlap(a: Column | str, b: Column | str) -> Column:
     return F.struct(F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(f1(p, r), 4).alias("f1"))
 
 
-def rouge_1(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
-    """(key, rouge_1): F1 of the multiset overlap of words, by counting words on both sides."""
-    each = lambda c, n: pairs.select(key, F.explode(tokens(c)).alias("w")).groupBy(key, "w").agg(F.count("*").alias(n))
-    both = each(a, "x").join(each(b, "y"), [key, "w"]).groupBy(key).agg(F.sum(F.least("x", "y")).alias("o"))
-    sized = pairs.select(key, F.size(tokens(a)).alias("x"), F.size(tokens(b)).alias("y")).join(both, key, "left")
-    o = F.coalesce(F.col("o"), F.lit(0)).cast("double")
-    p, r = F.coalesce(F.try_divide(o, F.col("x").cast("double")), F.lit(0.0)), F.coalesce(F.try_divide(o, F.col("y").cast("double")), F.lit(0.0))
-    return sized.select(key, F.round(f1(p, r), 4).alias("rouge_1"))
+def rouge_1(a: Column | str, b: Column | str) -> Column:
+    """F1 of the multiset overlap of words, counted inside the row: each word that both have counts as often as the one with fewer."""
+    x, y = tokens(a), tokens(b)
+    shared = F.transform(F.array_intersect(x, y), lambda w: F.least(F.size(F.filter(x, lambda v: v == w)), F.size(F.filter(y, lambda v: v == w))))
+    o = F.aggregate(shared, F.lit(0), lambda acc, n: acc + n).cast("double")
+    p, r = (F.coalesce(F.try_divide(o, F.size(t).cast("double")), F.lit(0.0)) for t in (x, y))
+    return F.coalesce(F.round(f1(p, r), 4), F.lit(0.0))
 
 
 def lcs(x: list[str], y: list[str]) -> int:

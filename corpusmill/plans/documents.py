@@ -205,8 +205,7 @@ def resume_antijoin(spark, sf_dir):
 @query("label_distribution", "SELECT quality, toxic, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM labels GROUP BY quality, toxic")
 def label_distribution(spark, sf_dir):
     n = table(spark, sf_dir, "labels").groupBy("quality", "toxic").agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("t"))
-    return n.join(F.broadcast(total)).select("quality", "toxic", "n", F.round(100.0 * F.col("n") / F.col("t"), 2).alias("pct"))
+    return n.select("quality", "toxic", "n", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2).alias("pct"))  # one row for each pair of labels
 
 
 @query(
@@ -251,12 +250,14 @@ def word_prf1(spark, sf_dir):
 
 @query(
     "rouge1_f1",
-    f"""WITH p AS (SELECT * FROM {PAIRS}), x AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({S.tokens('text')}) AS w FROM p) GROUP BY ALL), y AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({S.tokens('gold')}) AS w FROM p) GROUP BY ALL),
-    o AS (SELECT doc_id, sum(least(x.n, y.n)) AS o FROM x JOIN y USING (doc_id, w) GROUP BY doc_id), r AS (SELECT doc_id, coalesce(coalesce(o, 0) / nullif(len({S.tokens('text')}), 0), 0.0) AS a, coalesce(coalesce(o, 0) / nullif(len({S.tokens('gold')}), 0), 0.0) AS b FROM p LEFT JOIN o USING (doc_id))
+    f"""WITH t AS (SELECT doc_id, {S.tokens('text')} AS x, {S.tokens('gold')} AS y FROM {PAIRS}),
+    o AS (SELECT doc_id, len(x) AS x, len(y) AS y, coalesce(list_sum(list_transform(list_intersect(x, y), lambda w: least(len(list_filter(x, lambda v: v = w)), len(list_filter(y, lambda v: v = w))))), 0) AS o FROM t),
+    r AS (SELECT doc_id, coalesce(o / nullif(x, 0), 0.0) AS a, coalesce(o / nullif(y, 0), 0.0) AS b FROM o)
     SELECT doc_id, round(CASE WHEN a + b > 0 THEN 2 * a * b / (a + b) ELSE 0.0 END, 4) AS rouge_1 FROM r""",
 )
 def rouge1_f1(spark, sf_dir):
-    return metrics.rouge_1(pairs(spark, sf_dir), "doc_id", "text", "gold")
+    words = pairs(spark, sf_dir).select("doc_id", "text", "gold")
+    return words.select("doc_id", metrics.rouge_1("text", "gold").alias("rouge_1"))
 
 
 @query("rouge_l_f1")
@@ -287,7 +288,7 @@ def near_dup_rate(spark, sf_dir):
 def shingle_jaccard(spark, sf_dir):
     """Exact similarity of each benchmark text and the next."""
     t = table(spark, sf_dir, "benchmark").select("item_id", X.normal_form("text", unicode_form=False).alias("t"))
-    s = t.select("item_id", F.expr("array_distinct(transform(sequence(1, length(t) - 4), i -> substring(t, i, 5)))").alias("s"))
+    s = t.select("item_id", F.expr("if(length(t) < 5, cast(array() as array<string>), array_distinct(transform(sequence(1, greatest(length(t) - 4, 1)), i -> substring(t, i, 5))))").alias("s"))
     a, b = s.select(F.col("item_id").alias("a"), F.col("s").alias("x")), s.select(F.col("item_id").alias("b"), F.col("s").alias("y"))
     both = a.join(b, F.col("b") == F.col("a") + 1)
     return both.select("a", "b", F.round(F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y")), 4).alias("jaccard"))
@@ -308,19 +309,13 @@ def split_choice(spark, sf_dir):
     return kept.groupBy("source").agg(F.min_by("lang", F.struct(rank, "lang")).alias("split"))
 
 
-@query("word_set_algebra", f"SELECT a.lang AS a, b.lang AS b, CAST(len(list_intersect(a.w, b.w)) AS BIGINT) AS shared, CAST(len(list_distinct(list_concat(a.w, b.w))) AS BIGINT) AS either FROM (SELECT lang, list_distinct(flatten(list({S.tokens('substr(text, 1, 200)')}))) AS w FROM documents GROUP BY lang) a JOIN (SELECT lang, list_distinct(flatten(list({S.tokens('substr(text, 1, 200)')}))) AS w FROM documents GROUP BY lang) b ON a.lang < b.lang")
-def word_set_algebra(spark, sf_dir):
-    """How many opening words two languages share, and how many either has."""
-    return _word_sets(table(spark, sf_dir, "documents").select("lang", F.explode(X.tokens(F.substring("text", 1, 200))).alias("w")).distinct())
-
-
 @query(
-    "word_set_whole",
+    "word_set_algebra",
     f"""WITH w AS (SELECT DISTINCT lang, w FROM (SELECT lang, unnest({S.tokens('text')}) AS w FROM documents)), n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
     s AS (SELECT x.lang AS a, y.lang AS b, count(*) AS shared FROM w x JOIN w y USING (w) WHERE x.lang < y.lang GROUP BY ALL)
     SELECT x.lang AS a, y.lang AS b, coalesce(shared, 0) AS shared, x.n + y.n - coalesce(shared, 0) AS either FROM n x JOIN n y ON x.lang < y.lang LEFT JOIN s ON s.a = x.lang AND s.b = y.lang""",
 )
-def word_set_whole(spark, sf_dir):
+def word_set_algebra(spark, sf_dir):
     """How many words of whole texts two languages share, and how many either has."""
     return _word_sets(table(spark, sf_dir, "documents").select("lang", F.explode(X.tokens("text")).alias("w")).distinct())
 

@@ -17,7 +17,7 @@ VALUES = ", ".join(f"('{p}', '{k}')" for p, k in SITES)
 
 
 def with_facts(spark, sf_dir, *names: str):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", H.page_facts("html", "url").alias("f"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", H.page_facts("html", "url", names).alias("f"))
     return pages.select("page_id", "url", *[F.col(f"f.{n}").alias(n) for n in names])
 
 
@@ -35,9 +35,15 @@ def site_longest_match(spark, sf_dir):
     return pages.join(best, "page_id", "left").withColumn("site", F.coalesce("site", F.lit("default")))
 
 
-@query("noise_url_filter", "SELECT page_id FROM pages WHERE coalesce(url, '') = '' OR regexp_matches(lower(url), '" + "|".join(p.replace(".", "[.]") for p in predicates.NOISE_PARTS) + "')")
+NOISY = ("", "/login", "/video/7", "?to=YouTube.com", "/a/registered", "/Special-Projects/x")
+NOISE_SQL = "regexp_matches(lower(u), '" + "|".join(p.replace(".", "[.]") for p in predicates.NOISE_PARTS) + "')"
+
+
+@query("noise_url_filter", f"SELECT page_id, u FROM (SELECT page_id, url || unnest([{', '.join(repr(x) for x in NOISY)}]) AS u FROM pages) WHERE u = '' OR {NOISE_SQL}")
 def noise_url_filter(spark, sf_dir):
-    return table(spark, sf_dir, "pages").where(predicates.is_noise_url("url")).select("page_id")
+    """Each page's address with endings of several kinds; those that are noise."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.explode(F.transform(F.array(*map(F.lit, NOISY)), lambda x: F.concat("url", x))).alias("u"))
+    return pages.where(predicates.is_noise_url("u"))
 
 
 @query("article_url_filter", "SELECT page_id, regexp_matches(lower(url), '/news/|/article/|/story/|/post/|/a/') AS usual, regexp_matches(lower(url), '[0-9]+$') OR regexp_matches(lower(" + S.path('url') + "), '[0-9]+$') AS pattern, regexp_matches(lower(url), 'the|and') AS filtered FROM pages WHERE NOT regexp_matches(lower(url), '/login|zzz')")

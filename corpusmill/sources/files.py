@@ -6,7 +6,7 @@ import bz2
 import gzip
 import io
 import tarfile
-import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -22,9 +22,13 @@ ARCHIVES = ("zip", "tar", "gz", "bz2", "tgz")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder: what spark.checkpoint.dir names, else one of our own (tests)."""
+    """The session's checkpoint folder: what spark.checkpoint.dir names; a local session without it gets one under its
+    warehouse, and a cluster must name one."""
     if not (found := spark.sparkContext.getCheckpointDir()):
-        found = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints/{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(found)
     return found
 

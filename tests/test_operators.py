@@ -166,3 +166,27 @@ def test_one_document_of_items_and_file_statistics(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / files.output_name("s", "2024-01-01")).write_text("a\nb\n")
     assert [tuple(r) for r in files.file_statistics(spark, str(tmp_path / "logs")).collect()] == [("s_2024-01-01_articles.jsonl", 2, 0.0)]
+
+
+def test_a_chain_of_near_duplicates_is_settled(spark):
+    from corpusmill.operators import dedup
+    from corpusmill.sources.files import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    rows = [(i, [i, i + 1]) for i in range(40)] + [(100 + i, [1000]) for i in range(5)] + [(200, [7777])]
+    got = {r.id: r.retained for r in dedup.greedy_near_duplicates(spark.createDataFrame(rows, "i long, band array<long>"), "i").collect()}
+    kept, want = [], {}
+    for i, bands in sorted(rows):
+        want[i] = not any(set(bands) & k for k in kept)
+        if want[i]:
+            kept.append(set(bands))
+    assert got == want
+
+
+def test_first_wins_keeps_rows_with_a_null_order(spark):
+    from pyspark.sql import functions as F
+
+    from corpusmill.operators import dedup
+
+    df = spark.createDataFrame([("a", None, "x"), ("a", 3, "y"), ("b", 2, "z"), ("b", 5, "z")], "k string, seq long, v string")
+    assert sorted((r.k, r.v) for r in dedup.first_wins(df, F.col("k"), ["seq"]).collect()) == [("a", "x"), ("b", "z")]

@@ -23,4 +23,4 @@ def test_entry_has_the_whole_content_of_pages(spark, tmp_path, monkeypatch):
 def test_words_after_the_first_200_characters_count(spark, tmp_path):
     rows = [(1, "a " * 150 + "late", "en", "s"), (2, "b " * 150 + "late", "fr", "s")]
     put(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
-    assert [tuple(r) for r in registry.queries()["word_set_whole"](spark, str(tmp_path)).collect()] == [("en", "fr", 1, 3)]
+    assert [tuple(r) for r in registry.queries()["word_set_algebra"](spark, str(tmp_path)).collect()] == [("en", "fr", 1, 3)]
