@@ -105,7 +105,7 @@ def greedy_near_duplicates(banded: DataFrame, id_col: str) -> DataFrame:
         first = first.withColumn("kept", F.lit(None).cast(keys.schema["id"].dataType)) if kept is None else first.join(kept, "k", "left")
         met = keys.join(first.checkpoint(), "k").groupBy("id").agg(F.max(F.coalesce(F.col("kept") < F.col("id"), F.lit(False))).alias("hit"), F.max(F.col("open") < F.col("id")).alias("wait"))
         now = met.where(F.col("hit") | ~F.col("wait")).select("id", (~F.col("hit")).alias("retained")).checkpoint()
-        settled = settled.unionByName(now).checkpoint()
+        settled = settled.unionByName(now)
         mine = keys.join(now.where("retained").select("id"), "id", "left_semi").groupBy("k").agg(F.min("id").alias("kept"))
         kept = (mine if kept is None else mine.unionByName(kept).groupBy("k").agg(F.min("kept").alias("kept"))).checkpoint()
         keys = keys.join(now, "id", "left_anti").checkpoint()

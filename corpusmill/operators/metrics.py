@@ -72,8 +72,9 @@ def word_overlap(a: Column | str, b: Column | str) -> Column:
 
 
 def rouge_1(a: Column | str, b: Column | str) -> Column:
-    """F1 of the multiset overlap of words, counted inside the row: each word that both have counts as often as the one with fewer."""
-    x, y = tokens(a), tokens(b)
+    """F1 of the multiset overlap of two arrays of words, counted inside the row: each word that both have counts as often
+    as in the one with fewer."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (a, b))
     shared = F.transform(F.array_intersect(x, y), lambda w: F.least(F.size(F.filter(x, lambda v: v == w)), F.size(F.filter(y, lambda v: v == w))))
     o = F.aggregate(shared, F.lit(0), lambda acc, n: acc + n).cast("double")
     p, r = (F.coalesce(F.try_divide(o, F.size(t).cast("double")), F.lit(0.0)) for t in (x, y))

@@ -256,8 +256,8 @@ def word_prf1(spark, sf_dir):
     SELECT doc_id, round(CASE WHEN a + b > 0 THEN 2 * a * b / (a + b) ELSE 0.0 END, 4) AS rouge_1 FROM r""",
 )
 def rouge1_f1(spark, sf_dir):
-    words = pairs(spark, sf_dir).select("doc_id", "text", "gold")
-    return words.select("doc_id", metrics.rouge_1("text", "gold").alias("rouge_1"))
+    words = pairs(spark, sf_dir).select("doc_id", X.tokens("text").alias("x"), X.tokens("gold").alias("y"))
+    return words.select("doc_id", metrics.rouge_1("x", "y").alias("rouge_1"))
 
 
 @query("rouge_l_f1")
