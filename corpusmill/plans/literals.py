@@ -1,11 +1,10 @@
-"""Queries over small literal tables, for operators whose inputs the test tables don't hold."""
+"""Queries over small literal tables: reviewed sheets and benchmark results, which the test tables don't hold."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, predicates, text as X, urls, wikitext
-from ..operators import metrics, unify
+from ..operators import metrics
 from .registry import query
 
 
@@ -102,147 +101,3 @@ def benchmark_eval(spark, sf_dir):
 def extractor_overlap(spark, sf_dir):
     a, b = F.col("x_author").isNotNull(), F.col("gold_author").isNotNull()
     return frame(spark, BENCH).agg(F.count_if(a & b).alias("both_found"), F.count_if(a & ~b).alias("only_a"), F.count_if(~a & b).alias("only_b"))
-
-
-CATEGORIES = values(
-    "i value measured",
-    (1, "khaly-izhady", None), (2, "Новости", None), (3, "24 октября 2026", None), (4, "sport", None), (5, "Sport", "Sport"), (6, "{json}", None), (7, None, None), (8, "  Наука  и  жизнь ", "Наука и жизнь"), (9, "a-b-c", None), (10, "Культура 5 мая", None), (11, "ёж-Ёж", "ёж-Ёж"), (12, "x" * 121, None),
-)
-
-
-@query("category_predicate", f"SELECT i, CASE i WHEN 1 THEN 'khaly-izhady' WHEN 5 THEN 'Sport' WHEN 8 THEN 'Наука и жизнь' WHEN 11 THEN 'ёж-Ёж' END AS extracted, measured, value IS NOT NULL AND trim(value) <> '' AND NOT starts_with(trim(value), '{{') AND length(trim(value)) <= 100 AS counted FROM ({CATEGORIES})")
-def category_predicate(spark, sf_dir):
-    return frame(spark, CATEGORIES).select("i", predicates.category("value").alias("extracted"), predicates.category("value", measuring=True).alias("measured"), predicates.is_category("value").alias("counted"))
-
-
-AUTHORS = values(
-    "name good",
-    ("5 минут чтения", 0), ("admin", 0), ("15 марта 2024", 0), ("a@b.c", 0), ("Редакция", 1), ("Иван Петров", 1), ("x", 0), ("", 0), (None, 0), ("www.site.ru", 0), ("Фото: Иван", 0), ("Вчера", 0), ("Sponsored content", 0), ("2024-03-15T10:00", 0), ("Dr. May 2", 0), ("Ҷумъа", 1), ("12 345", 0), ("реклама", 0),
-)
-
-
-@query("author_predicate", f"SELECT name, good = 1 AS accepted FROM ({AUTHORS})")
-def author_predicate(spark, sf_dir):
-    return frame(spark, AUTHORS).select("name", predicates.is_author("name").alias("accepted"))
-
-
-MATCHES = values(
-    "a b author",
-    ("Иван Петров", "Петров Иван Сергеевич", 1), ("Иван", "Иван Петров", 0), ("Иван", "иван", 1), ("A. B.", "b a", 1), ("A", "B", 0), ("", "B", None),
-)
-
-
-@query("author_match", f"SELECT a, b, author = 1 AS matched, lower(a) LIKE '%' || lower(substr(b, 1, 30)) || '%' AS as_title FROM ({MATCHES})")
-def author_match(spark, sf_dir):
-    return frame(spark, MATCHES).select("a", "b", predicates.authors_match("a", "b").alias("matched"), predicates.titles_match("a", "b").alias("as_title"))
-
-
-DATES = values(
-    "value iso_form clock english",
-    ("2024-03-15T10:00:00Z", "2024-03-15T10:00:00+00:00", None, "2024-03-15T10:00:00Z"), ("2024-03-15", "2024-03-15T00:00:00", None, "2024-03-15"), ("15 марта 2024", None, None, "15 March 2024"), ("at 9:05 x", None, "9:05", "at 9:05 x"), ("мартал", None, None, "Marchл"), (None, None, None, None), ("1 мая, 7:30", None, "7:30", "1 May, 7:30"),
-)
-
-
-@query("date_localise_parse", f"SELECT value, iso_form, clock, english FROM ({DATES})")
-def date_localise_parse(spark, sf_dir):
-    return frame(spark, DATES).select("value", dates.iso("value").alias("iso_form"), dates.clock("value").alias("clock"), dates.localised("value").alias("english"))
-
-
-@query("date_lenient_parse")
-def date_lenient_parse(spark, sf_dir):
-    return frame(spark, DATES).select("value", dates.parsed("value").alias("parsed"))
-
-
-WIKI = values(
-    "title ns body cleaned cats strict_cats",
-    ("Kazan", 0, "'''Kazan''' is [[city|a city]] in [[Tatarstan]].{{stub}}", "Kazan is a city in Tatarstan.", "", ""), ("A", None, "x<ref name=\"q\">y</ref> &amp; z\n\n\n\nq", "x   z\n\nq".replace("   ", " "), "", ""),
-    ("B", 0, "[[Category:Foo]]\n[[Category:Bar]]", "Category:Foo\nCategory:Bar", "Foo]] [[Category:Bar]]", "Bar,Foo"), ("C", 0, "[[Category:Foo|x]]", "x", "Foo", "Foo"), ("D", 0, "#REDIRECT [[X]]", "#REDIRECT X", "", ""), ("E", 1, "talk", "talk", "", ""),
-)
-
-
-@query("wikitext_clean_categories", f"SELECT title, cleaned, cats, strict_cats, title IN ('Kazan', 'A', 'B', 'C') AS article, 'https://tt.wikipedia.org/wiki/' || title AS url FROM ({WIKI})")
-def wikitext_clean_categories(spark, sf_dir):
-    w = frame(spark, WIKI)
-    return w.select("title", wikitext.plain("body").alias("cleaned"), F.array_join(wikitext.categories("body"), ",").alias("cats"), F.array_join(wikitext.categories("body", strict=True), ",").alias("strict_cats"), wikitext.is_article("title", "body", "ns").alias("article"), wikitext.page_url(F.lit("ttwiki"), "title").alias("url"))
-
-
-RUTUBE = values(
-    "content author out_author out_content",
-    ("Ali\n2 days ago\nGood video\nThanks", None, "Ali", "Good video\nThanks"), ("Ali\nHello", None, "Ali", "Ali\nHello"), ("x\ny\nz", "Me", "Me", "x\ny\nz"), ("\nAli\nb\nc", None, None, "c"), ("", "", None, ""),
-)
-
-
-@query("rutube_unify", f"SELECT content, out_author AS author, out_content AS body FROM ({RUTUBE})")
-def rutube_unify(spark, sf_dir):
-    r = frame(spark, RUTUBE).select("content", unify.rutube_fields("content", "author").alias("u"))
-    return r.select("content", F.col("u.author").alias("author"), F.col("u.content").alias("body"))
-
-
-FILES = values("stem rel author title rubric", ("Tukay_Shurale", "poems/Tukay_Shurale.txt", "Tukay", "Shurale", "poems"), ("a - b-c", "a - b-c.pdf", "a", "b-c", None), ("one-two", "x/y/one-two.md", "one", "two", "x"), ("plain", "plain.txt", None, "plain", None))
-
-
-@query("filename_meta", f"SELECT stem, author, title, rubric FROM ({FILES})")
-def filename_meta(spark, sf_dir):
-    f = frame(spark, FILES).select("stem", unify.file_fields("stem").alias("m"), unify.rubric("rel").alias("rubric"))
-    return f.select("stem", "m.author", "m.title", "rubric")
-
-
-API = values("page body", (1, '{"data":[{"id":1,"title":"t","publish_date":null,"news_date":"2024-03-15","text":"<p>x</p>","news_type_relation":[{"news_type":{"name":"n"}},{"news_type":{"name":"m"}}]}]}'), (2, '{"data":[{"id":7,"title":"u","publish_date":"2024-01-02","text":"y","news_type_relation":[]}]}'), (3, '{"data":[]}'))
-ITEM = "array<struct<id:bigint,title:string,publish_date:string,news_date:string,text:string,news_type_relation:array<struct<news_type:struct<name:string>>>>>"
-
-
-@query("api_project", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), CAST(1 AS BIGINT), 't', '2024-03-15', '<p>x</p>', 'n, m', 'https://a.tj/event/news/1'), (2, 7, 'u', '2024-01-02', 'y', '', 'https://a.tj/event/news/7')) AS t(page, id, title, date, content, category, url)")
-def api_project(spark, sf_dir):
-    """Items at a path of a JSON body, fields by dotted paths, the first filled of several dates, an address template."""
-    items = frame(spark, API).select("page", F.explode(F.from_json(F.get_json_object("body", "$.data"), ITEM)).alias("i"))
-    return items.select("page", "i.id", "i.title", X.first_filled("i.publish_date", "i.news_date").alias("date"), F.col("i.text").alias("content"), F.array_join(F.transform("i.news_type_relation", lambda r: r["news_type"]["name"]), ", ").alias("category"), F.concat(F.lit("https://a.tj/event/news/"), F.col("i.id").cast("string")).alias("url"))
-
-
-@query("api_last_page", "SELECT CAST(2 AS BIGINT) AS last_page")
-def api_last_page(spark, sf_dir):
-    n = F.size(F.from_json(F.get_json_object("body", "$.data"), ITEM))
-    return frame(spark, API).where(n > 0).agg(F.max("page").alias("last_page"))
-
-
-PAGING = values("cur cand forward", ("https://a/page/3", "https://a/page/2", 0), ("https://a/x", "https://a/page/2", 1), ("https://a/x", "https://a/page/1", 0), ("https://a/?page=2", "https://a/?page=3", 1), ("https://a/?p=4", "https://a/?p=3", 0), ("https://a/page/3", "https://a/x", 0), ("https://a/x", "https://a/y", 1))
-
-
-@query("forward_pagination", f"SELECT cur, cand, forward = 1 AS forward FROM ({PAGING})")
-def forward_pagination(spark, sf_dir):
-    return frame(spark, PAGING).select("cur", "cand", urls.is_forward("cur", "cand").alias("forward"))
-
-
-LINKS = values("base href url ym section", ("https://a.tj/x/", "../y#z", "https://a.tj/y", None, "x"), ("https://a.tj/x/", "mailto:q", None, None, "x"), ("https://a.tj/2024/03/n/", "https://b.tj/q#r", "https://b.tj/q", "2024-03", "2024"), ("https://a.tj/page/2", "", None, None, None), ("https://a.tj/", "/n/", "https://a.tj/n/", None, None))
-
-
-@query("relative_links", f"SELECT base, href, url, ym, section FROM ({LINKS})")
-def relative_links(spark, sf_dir):
-    return frame(spark, LINKS).select("base", "href", urls.absolute("base", "href").alias("url"), urls.year_month("base").alias("ym"), urls.section("base").alias("section"))
-
-
-LISTS = values("i items", (1, "b,a,b,,c"), (2, ""), (3, "x"))
-
-
-@query("ordered_distinct", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'b,a,c'), (2, ''), (3, 'x')) AS t(i, items)")
-def ordered_distinct(spark, sf_dir):
-    return frame(spark, LISTS).select("i", F.array_join(X.distinct_kept(F.split("items", ",")), ",").alias("items"))
-
-
-@query("nfkc_normal_form", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'hello world'), (2, 'fi 1'), (3, 'plain text'), (4, NULL)) AS t(i, form)")
-def nfkc_normal_form(spark, sf_dir):
-    rows = frame(spark, values("i t", (1, "Ｈｅｌｌｏ,  World!\n"), (2, "ﬁ ①"), (3, "Plain, text."), (4, None)))
-    return rows.select("i", X.normal_form("t").alias("form"))
-
-
-BYLINES = values(
-    "i html byline place",
-    (1, '<body><span class="byline">Ali Vali</span><p>x</p></body>', "Ali Vali", "css:.byline"), (2, "<body><p>Long text.</p><p>Автор: Иван Петров</p></body>", "Автор: Иван Петров", "regex:0"),
-    (3, "<body><p>Редакция</p></body>", "Редакция", "regex:11"), (4, "<body><p>no name here</p></body>", None, None), (5, None, None, None), (6, '<div class="x_author_y">A</div><p>Язган Гали</p>', "Язган Гали", "regex:8"),
-)
-
-
-@query("html_bylines", f"SELECT i, byline, place FROM ({BYLINES})")
-def html_bylines(spark, sf_dir):
-    from ..functions import html as H
-
-    return frame(spark, BYLINES).select("i", H.bylines("html").alias("b")).select("i", F.col("b.text").alias("byline"), F.col("b.source").alias("place"))
