@@ -39,6 +39,13 @@ def unify(df: DataFrame, source_type: Column | str, language: Column | None = No
     )
 
 
+def wiki(df: DataFrame, language: Column | None = None) -> DataFrame:
+    """Rows of an encyclopedia: the text is the content, the first of the categories the category; language fills one that is missing."""
+    named = df.drop("category", "content").withColumnsRenamed({"text": "content", "categories": "category"})
+    out = unify(named, "wiki")
+    return out.withColumn("language", first_filled("language", language)) if language is not None else out
+
+
 def corpus(parts: dict[str, DataFrame]) -> DataFrame:
     """Unified rows of {source: rows with seq}, with source_rank."""
     ranked = [df.withColumn("source_rank", F.lit(RANKS[k])) for k, df in parts.items()]

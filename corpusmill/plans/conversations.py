@@ -64,7 +64,17 @@ def posts_and_comments_union(spark, sf_dir):
     return post.unionByName(both.where("turn > least").select("conv_id", "turn", "text", F.lit("comment").alias("kind")))
 
 
-@query("vk_post_shape", f"SELECT conv_id AS post_id, substr(text, 1, 120) AS title, {S.excerpt('text')} AS excerpt, substr(sha256(text || conv_id), 1, 32) AS hash, 'https://vk.com/wall0_' || conv_id AS url, CAST(0 AS BIGINT) AS likes FROM {POSTS}")
+@query(
+    "vk_post_shape",
+    f"""SELECT conv_id AS post_id, substr(text, 1, 120) AS title, {S.excerpt('text')} AS excerpt, substr(sha256(text || conv_id), 1, 32) AS hash, 'https://vk.com/wall-5_' || conv_id AS url, conv_id % 4 AS likes, CAST(0 AS BIGINT) AS views,
+      CASE WHEN conv_id % 3 = 0 THEN 'https://a.b/large' END AS image_url, 'club5' AS author, 'social_vk_post' AS source_type FROM {POSTS}""",
+)
 def vk_post_shape(spark, sf_dir):
-    p = posts(spark, sf_dir)
-    return p.select(F.col("conv_id").alias("post_id"), F.substring("text", 1, 120).alias("title"), X.excerpt("text").alias("excerpt"), X.sha(F.concat("text", F.col("conv_id").cast("string"))).alias("hash"), F.concat(F.lit("https://vk.com/wall0_"), F.col("conv_id").cast("string")).alias("url"), F.lit(0).cast("long").alias("likes"))
+    """Bodies as the wall's API gives them, read back as post records."""
+    size = lambda u: F.struct(F.lit(u).alias("url"))
+    photo = F.struct(F.lit("photo").alias("type"), F.struct(F.array(size("https://a.b/small"), size("https://a.b/large")).alias("sizes")).alias("photo"))
+    link = F.struct(F.lit("link").alias("type"), F.lit(None).cast("struct<sizes:array<struct<url:string>>>").alias("photo"))
+    shown = F.when(F.col("conv_id") % 3 == 0, F.array(link, photo)).otherwise(F.array(link))
+    body = F.to_json(F.struct(F.col("conv_id").alias("id"), F.lit(-5).alias("owner_id"), F.lit(1_700_000_000).alias("date"), "text", F.struct((F.col("conv_id") % 4).alias("count")).alias("likes"), shown.alias("attachments")))
+    raw = posts(spark, sf_dir).select(F.lit("club5").alias("domain"), body.alias("body"))
+    return social.vk_posts(raw).select("post_id", "title", "excerpt", "hash", "url", "likes", "views", "image_url", "author", "source_type")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import html as H, predicates, scripts, text as X
+from ..functions import html as H, predicates, scripts, text as X, wikitext
 from ..operators import dedup, metrics, unify
 from . import sql as S
 from .registry import query, table
@@ -14,7 +14,7 @@ SEED_PAGES = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 
 
 def corpus_rows(spark, sf_dir, whole=False):
-    """Unified rows of pages (news), conversations (social) and documents, each with seq.
+    """Unified rows of pages (news), conversations (social), benchmark texts (as wiki articles) and documents, each with seq.
 
     whole: title and content of pages from the HTML tree; else what SQL can express, the first plain paragraph.
     """
@@ -22,7 +22,9 @@ def corpus_rows(spark, sf_dir, whole=False):
     pages = table(spark, sf_dir, "pages").withColumn("f", H.page_text("html") if whole else found).select(F.col("page_id").alias("seq"), "url", "f.title", "f.content", F.nullif(F.regexp_extract("html", '<html[^>]*lang="([^"]+)"', 1), F.lit("")).alias("language"))
     talks = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100_000 + F.col("turn")).alias("seq"), unify.wall_url(F.lit(None), "conv_id").alias("url"), F.substring("text", 1, 120).alias("title"), F.col("text").alias("content"), F.col("role").alias("author"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "text", F.col("source").alias("category"), F.col("lang").alias("language"))
-    return unify.corpus({"news": unify.unify(pages, "news"), "social": unify.unify(talks, "social_vk_post"), "document": unify.unify(docs, "document")})
+    name = F.concat(F.lit("Item "), F.col("item_id").cast("string"))
+    articles = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("seq"), name.alias("title"), wikitext.page_url(F.lit("ttwiki"), name).alias("url"), "text", F.array(F.concat(F.lit("Part "), (F.col("item_id") % 3).cast("string")), F.lit("All")).alias("categories"))
+    return unify.corpus({"news": unify.unify(pages, "news"), "social": unify.unify(talks, "social_vk_post"), "wiki": unify.wiki(articles, F.lit("tt")), "document": unify.unify(docs, "document")})
 
 
 @query(
@@ -31,6 +33,7 @@ def corpus_rows(spark, sf_dir, whole=False):
       SELECT page_id AS seq, 0 AS source_rank, nullif(url, '') AS url, {S.strip("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS title, {S.strip("regexp_extract(html, '<p>([^<]*)</p>', 1)")} AS content,
         CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS category, 'news' AS source_type, nullif(regexp_extract(html, '<html[^>]*lang="([^"]+)"', 1), '') AS language FROM pages
       UNION ALL SELECT conv_id * 100000 + turn, 1, 'https://vk.com/wall0_' || conv_id, {S.strip("substr(text, 1, 120)")}, {S.strip("text")}, nullif(role, ''), NULL, NULL, 'social_vk_post', NULL FROM conversations
+      UNION ALL SELECT item_id, 2, 'https://tt.wikipedia.org/wiki/Item_' || item_id, 'Item ' || item_id, {S.strip("coalesce(text, '')")}, NULL, NULL, 'Part ' || item_id % 3, 'wiki', 'tt' FROM benchmark
       UNION ALL SELECT doc_id, 3, NULL, '', {S.strip("coalesce(text, '')")}, NULL, NULL, source, 'document', nullif(lang, '') FROM documents)
     SELECT url, title, content, author, date, category, source_type, language FROM rows WHERE coalesce(url, nullif(content, '')) IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY coalesce(url, content) ORDER BY source_rank, seq) = 1""",

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions import predicates, text as X, urls
+from ..functions import predicates, siterules as R, text as X, urls
 from ..operators import dedup, graph
 from . import sql as S
 from .registry import query, table
@@ -129,13 +129,19 @@ def html_article_extract(spark, sf_dir):
     """The whole article record of a page; gates and dates are expressions over what the parse found."""
     f = with_facts(spark, sf_dir, "title", "content", "dates", "authors", "categories", "image", "language", "page_type")
     author = F.get(F.filter("authors", predicates.is_author), F.lit(0))
-    category = F.get(F.filter(F.transform("categories", lambda c: predicates.category(c)), lambda c: c.isNotNull()), F.lit(0))
     return f.select(
-        "url", "title", "content", X.article_excerpt("content").alias("excerpt"), F.get("dates", F.lit(0)).alias("date"), category.alias("category"), author.alias("author"),
+        "url", "title", "content", X.article_excerpt("content").alias("excerpt"), F.get("dates", F.lit(0)).alias("date"), R.accepted_category("url", "categories", by_url=True).alias("category"), author.alias("author"),
         urls.domain("url").alias("site"), X.record_hash("content", "title", "url").alias("hash"), F.col("image").alias("image_url"), "language", "page_type",
     )
 
 
+@query("html_site_article")
+def html_site_article(spark, sf_dir):
+    """Title, date, author with its strategy, category and content of pages by the rules of their sites."""
+    pages = table(spark, sf_dir, "pages").withColumn("g", R.given("html", "url", F.lit("default"), {}, ("title", "dates", "authors", "categories", "content")))
+    return pages.select("page_id", "g.title", F.get("g.dates", F.lit(0)).alias("date"), R.accepted_author("g.authors").alias("a"), R.accepted_category("url", "g.categories", by_url=True).alias("category"), F.col("g.content")).select("page_id", "title", "date", F.col("a.value").alias("author"), F.col("a.strategy").alias("strategy"), "category", "content")
+
+
 @query("html_block_text")
 def html_block_text(spark, sf_dir):
     return with_facts(spark, sf_dir, "blocks").select("page_id", F.posexplode("blocks").alias("pos", "b")).select("page_id", "pos", "b.tag", "b.text")
@@ -151,12 +157,16 @@ def html_listing_items(spark, sf_dir):
     return with_facts(spark, sf_dir, "items").select("page_id", F.explode("items").alias("i")).select("page_id", "i.*").where(~predicates.is_noise_url("url"))
 
 
-@query("html_rubric_links")
+@query(
+    "html_rubric_links",
+    f"""WITH m AS (SELECT page_id, {ROOT} AS root, unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]+)"', 1)) AS href FROM pages)
+    SELECT DISTINCT page_id, root || href AS url FROM m WHERE starts_with(href, '/') AND NOT {NOISE_SQL.replace("lower(u)", "lower(root || href)")}""",
+)
 def html_rubric_links(spark, sf_dir):
-    """Links of a page to its own host that are no noise, each once."""
-    links = with_facts(spark, sf_dir, "links").select("page_id", F.col("url").alias("page"), F.explode("links").alias("l")).select("page_id", "page", "l.*")
-    kept = links.where(urls.same_domain("page", "url") & ~predicates.is_noise_url("url") & ~predicates.is_noise_text("text"))
-    return kept.select("page_id", "url", "text").distinct()
+    """Links of a page's menus to its own host that are no noise, each once."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page"), R.given("html", "url", F.lit("default"), {}, ("rubrics",)).alias("g"))
+    links = p.select("page_id", "page", F.explode("g.rubrics").alias("url"))
+    return links.where(urls.same_domain("page", "url") & ~predicates.is_noise_url("url")).select("page_id", "url").distinct()
 
 
 @query("html_gold_body")
@@ -167,10 +177,19 @@ def html_gold_body(spark, sf_dir):
 @query("html_strategy_probes")
 def html_strategy_probes(spark, sf_dir):
     """One row for each page, field and strategy: what it found."""
-    f = with_facts(spark, sf_dir, "title", "dates", "authors", "categories", "meta_author", "meta_date", "content")
-    probes = {"title:chain": F.col("title"), "date:first": F.get("dates", F.lit(0)), "date:meta": F.col("meta_date"), "author:first": F.get("authors", F.lit(0)), "author:meta": F.col("meta_author"), "category:first": F.get("categories", F.lit(0)), "content:container": F.nullif("content", F.lit(""))}
-    rows = F.array(*[F.struct(F.lit(k.split(":")[0]).alias("field"), F.lit(k.split(":")[1]).alias("strategy"), v.alias("value")) for k, v in probes.items()])
-    return f.select("page_id", F.explode(rows).alias("p")).select("page_id", "p.field", "p.strategy", F.col("p.value").isNotNull().alias("fired"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.explode(R.probes("html", "url", F.lit("default"), {})).alias("p"))
+    return p.select("page_id", "p.field", "p.strategy", F.col("p.value").isNotNull().alias("fired"))
+
+
+@query("strategy_scores")
+def strategy_scores(spark, sf_dir):
+    """By field and strategy: attempts, how often it fired and agreed with what the page's metadata say, and its time."""
+    from ..operators import metrics
+
+    probe = table(spark, sf_dir, "pages").select("page_id", F.explode(R.probes("html", "url", F.lit("default"), {})).alias("p"))
+    known = with_facts(spark, sf_dir, "title", "meta_author", "meta_date").select("page_id", F.create_map(F.lit("title"), "title", F.lit("author"), "meta_author", F.lit("date"), "meta_date").alias("m"))
+    both = probe.select("page_id", "p.*").join(known, "page_id").withColumn("ref", F.try_element_at("m", F.col("field")))
+    return metrics.strategy_scores(both, ["field", "strategy"], F.col("value").isNotNull(), F.col("ref").isNotNull(), F.lower("value") == F.lower("ref"), F.col("ms"))
 
 
 @query(

@@ -13,9 +13,11 @@ def test_entry_has_the_whole_content_of_pages(spark, tmp_path, monkeypatch):
     put(spark, tmp_path, "pages", [(1, "https://a.b/1", html)], "page_id long, url string, html string")
     put(spark, tmp_path, "conversations", [(7, 0, "user", "hello")], "conv_id long, turn long, role string, text string")
     put(spark, tmp_path, "documents", [(3, "a text", "en", "s")], "doc_id long, text string, lang string, source string")
+    put(spark, tmp_path, "benchmark", [(4, "an article")], "item_id long, text string")
     monkeypatch.setattr(E, "SMOKE_DIR", str(tmp_path))
     got = {r.source_type: r for r in E.entry(spark).collect()}
-    assert len(got) == 3
+    assert len(got) == 4
+    assert (got["wiki"].content, got["wiki"].category, got["wiki"].language) == ("an article", "Part 1", "tt")
     assert got["news"].title == "A title"
     assert all(x in got["news"].content for x in ("First marked paragraph.", "Second one.", "Third, unclosed", "Fourth", "Fifth", "An item"))
 
