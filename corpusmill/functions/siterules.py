@@ -42,6 +42,7 @@ MENUS = (
 )
 STATE_PATTERNS = (r"""https?://[^"'\s<>]+""", r"""/(?:news|rubric|category|tag|article|post|a)/[^"'\s<>]*""")
 STATE_KEYS = ("path", "href", "url")
+NEXT_TEXTS = ("Next", "→", ">", "Следующая", "следующая")
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,7 @@ class Rules:
     noise_words: tuple[str, ...] = ()
     rubric_strategy: tuple[str, ...] = ("menu_scraping",)
     rubric_selectors: tuple[str, ...] = ()
+    pagination_selectors: tuple[str, ...] = ()
     article_url_filters: tuple[str, ...] = ()
     article_url_excludes: tuple[str, ...] = ()
     nuxt_url_regexes: tuple[str, ...] = STATE_PATTERNS
@@ -156,6 +158,12 @@ class SitePage(H.Page):
         noise = [w.lower() for w in self.rules.noise_words]
         return H.block_text([(tag, t) for tag, t in H.blocks(node) if len(t) >= 3 and not any(w in t.lower() for w in noise)])
 
+    def nexts(self) -> list[str]:
+        """Where the next page may be: links of the pagination selectors, then those whose text says so."""
+        nodes = [n for s in self.rules.pagination_selectors for n in H.select(self.root, s)]
+        nodes += [n for n in self.root.walk() if n.tag == "a" and any(w in H.squeezed(n.text()).lower() for w in map(str.lower, NEXT_TEXTS))]
+        return [to for n in nodes if (to := H.link_of(self.url, n.attrs.get("href")))]
+
     # --- links to rubrics
 
     def menu(self) -> list[str]:
@@ -199,6 +207,11 @@ GIVEN = {
     "authors": ("array<struct<strategy:string,value:string>>", lambda p: [{"strategy": s, "value": v} for s in p.rules.author_strategy if (v := p.author(s))]),
     "categories": ("array<string>", SitePage.category),
     "rubrics": ("array<string>", SitePage.rubrics),
+    "nexts": ("array<string>", SitePage.nexts),
+    "links": ("array<struct<url:string,text:string>>", H.FIND["links"]),
+    "items": ("array<struct<url:string,title:string,content:string,date:string>>", H.FIND["items"]),
+    "page_type": ("string", H.FIND["page_type"]),
+    "image": ("string", H.FIND["image"]),
     "content": ("string", SitePage.content),  # the last: it takes elements out of the tree
 }
 

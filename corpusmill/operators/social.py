@@ -72,12 +72,13 @@ def telegram_posts(raw: DataFrame, channel: str) -> DataFrame:
     )
 
 
-def vk_unified(posts: DataFrame, comments: DataFrame, language: str, fits: Column, least: int = 10) -> DataFrame:
-    """Posts that are long enough and in the language, with the texts of their comments that are long enough."""
+def vk_unified(posts: DataFrame, comments: DataFrame, language: Column | str, fits: Column, least: int = 10) -> DataFrame:
+    """Posts that are long enough and in the language, with the texts of their comments that are so too."""
     from ..functions import text as X
 
     p = posts.withColumn("content", X.without_emoji("content"))
     kept = p.where(skip_reason(F.col("content"), fits, least).isNull())
-    replies = comments.withColumn("reply", X.without_emoji("content")).where(F.length("reply") >= least).select("post_id", "comment_id", "reply")
+    c = comments.withColumn("content", X.without_emoji("content"))
+    replies = c.where(skip_reason(F.col("content"), fits, least).isNull()).select("post_id", "comment_id", F.col("content").alias("reply"))
     joined = with_comments(kept, replies, ["post_id"], "comment_id", "reply")
-    return joined.select("title", "content", "category", "comments", "date", "url", F.lit(language).alias("language"), "post_id", "domain", "likes", "reposts", "views")
+    return joined.select("title", "content", "category", "comments", "date", "url", (F.lit(language) if isinstance(language, str) else language).alias("language"), "post_id", "domain", "likes", "reposts", "views")

@@ -16,11 +16,16 @@ import urllib.parse
 import urllib.request
 import urllib.robotparser
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.urls import domain
+
 HEADERS = {"User-Agent": "Mozilla/5.0 (compatible; corpusmill)", "Accept": "text/html,application/json;q=0.9,*/*;q=0.5", "Accept-Language": "tt,tg,ru;q=0.8,en;q=0.5"}
 
 
@@ -59,7 +64,7 @@ def amp_address(url: str, mode: str) -> str | None:
 
 
 class HostPartition(InputPartition):
-    def __init__(self, urls: list[str]):
+    def __init__(self, urls: Iterable[str]):
         super().__init__(None)
         self.urls = urls
 
@@ -117,6 +122,18 @@ def read_pages(spark: SparkSession, urls: list[str], **options) -> DataFrame:
     return reader.load()
 
 
+def fetch_table(addresses: DataFrame, column: str = "url", tasks: int = 64, **options) -> DataFrame:
+    """url, html, error of the addresses in a table, of any number. Those of a host go to one task, so that the delay holds for it."""
+    reader = PageReader({k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()} | {"urls": ""})
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = reader.read(HostPartition(u for f in frames for u in f[column]))
+        while some := list(islice(rows, 32)):
+            yield pd.DataFrame(some, columns=["url", "html", "error"])
+
+    return addresses.select(column).where(F.col(column).isNotNull()).repartition(tasks, domain(column)).mapInPandas(run, "url string, html string, error string")
+
+
 def last_page(has_items: Callable[[int], bool], fixed: int | None = None, limit: int = 1 << 20) -> int:
     """The last page with items: fixed, or by doubling and then halving the gap; 0 if the first is empty."""
     if fixed is not None:

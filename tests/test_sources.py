@@ -105,10 +105,10 @@ def test_raw_posts_and_comments(spark):
     posts = social.vk_posts(spark.createDataFrame([("d", json.dumps(post)), ("d", json.dumps({"id": 6, "text": "short"}))], "domain string, body string"), language="tg")
     r = {x.post_id: x for x in posts.collect()}[5]
     assert (r.url, r.image_url, r.likes, r.views, r.time, len(r.title)) == ("https://vk.com/wall-1_5", "l", 3, 0, "22:13", 120)
-    raw = [(5, json.dumps({"id": 1, "from_id": 9, "date": 1700000000, "text": "a long enough reply", "parents_stack": []})), (5, json.dumps({"id": 2, "text": "another reply here", "parents_stack": [1]})), (5, json.dumps({"id": 3, "text": "no"}))]
+    raw = [(5, json.dumps({"id": 1, "from_id": 9, "date": 1700000000, "text": "a long enough reply ғ", "parents_stack": []})), (5, json.dumps({"id": 2, "text": "another reply ҳ", "parents_stack": [1]})), (5, json.dumps({"id": 3, "text": "no"})), (5, json.dumps({"id": 4, "text": "in another language"}))]
     comments = social.vk_comments(spark.createDataFrame(raw, "post_id long, body string"))
-    assert sorted((x.comment_id, x.parent_comment_id) for x in comments.collect()) == [(1, 0), (2, 1), (3, 0)]
+    assert sorted((x.comment_id, x.parent_comment_id) for x in comments.collect()) == [(1, 0), (2, 1), (3, 0), (4, 0)]
     made = social.vk_unified(posts, comments, "tg", scripts.letters_fit("content", *scripts.LETTER_RULES["tg"])).collect()
-    assert [(x.post_id, x.comments) for x in made] == [(5, "a long enough reply\nanother reply here")]
+    assert [(x.post_id, x.comments) for x in made] == [(5, "a long enough reply ғ\nanother reply ҳ")]
     t = social.telegram_posts(spark.createDataFrame([(7, 1700000000, "text", None, 2), (8, 0, None, 1, 1)], "id long, date long, text string, views long, forwards long"), "ch").collect()
     assert [(x.url, x.views, x.forwards) for x in t] == [("https://t.me/ch/7", 0, 2)] and isinstance(F.col("x"), object)
