@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,29 @@ def counts(df: DataFrame, group: list[str], text: str = "text") -> DataFrame:
     return out.withColumn("tokens_per_doc", F.round(F.col("tokens") / F.col("docs"), 1))
 
 
+def tokenizer_length(text: Column | str, path: str, batch: int = 512) -> Column:
+    """How many ids a tokenizer's file makes of a text, without special ones; null counts as empty."""
+
+    def run(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(path)
+        for s in frames:
+            filled = s.fillna("").tolist()
+            parts = (made.encode_batch(filled[i : i + batch], add_special_tokens=False) for i in range(0, len(filled), batch))
+            yield pd.Series([len(e.ids) for part in parts for e in part], dtype="int64")
+
+    run.__annotations__ = {"frames": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "long")(text)
+
+
+def tokenizer_counts(df: DataFrame, group: list[str], path: str, name: str = "tokens", text: str = "text") -> DataFrame:
+    """By group: docs, chars and the tokens of a tokenizer's file, and tokens_per_doc."""
+    rows = df.select(*group, F.length(text).alias("__c"), tokenizer_length(text, path).alias("__t"))
+    out = rows.groupBy(*group).agg(F.count("*").alias("docs"), F.sum("__c").alias("chars"), F.sum("__t").alias(name))
+    return out.withColumn("tokens_per_doc", F.round(F.col(name) / F.col("docs"), 1))
+
+
 def with_total(df: DataFrame, group: str, sums: list[str], label: str = "TOTAL") -> DataFrame:
     """Sums by group and over all, the latter under a label."""
     out = df.rollup(group).agg(*[F.sum(s).alias(s) for s in sums], F.grouping(group).alias("__all"))

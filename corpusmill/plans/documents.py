@@ -192,6 +192,16 @@ def group_totals_rollup(spark, sf_dir):
     return metrics.with_total(metrics.counts(table(spark, sf_dir, "documents"), ["source"]), "source", ["docs", "chars", "tokens"])
 
 
+#: A public tokenizer's file; where it lies is a parameter of the operator.
+TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+
+
+@query("tokenizer_counts")
+def tokenizer_counts(spark, sf_dir):
+    """Documents, characters and a tokenizer's tokens by source."""
+    return metrics.tokenizer_counts(table(spark, sf_dir, "documents"), ["source"], TOKENIZER)
+
+
 @query("token_column_merge", f"SELECT source, docs, CASE WHEN source < 'src5' THEN docs * 7 ELSE tokens END AS tokens FROM ({COUNTS})")
 def token_column_merge(spark, sf_dir):
     """Earlier results keep their filled column; the others are computed."""

@@ -181,8 +181,8 @@ def html_strategy_probes(spark, sf_dir):
     return p.select("page_id", "p.field", "p.strategy", F.col("p.value").isNotNull().alias("fired"))
 
 
-@query("strategy_scores")
-def strategy_scores(spark, sf_dir):
+@query("html_strategy_scores")
+def html_strategy_scores(spark, sf_dir):
     """By field and strategy: attempts, how often it fired and agreed with what the page's metadata say, and its time."""
     from ..operators import metrics
 
