@@ -5,10 +5,11 @@ one node. Candidates share one of 25 bands of four MinHash values: a pair of sim
 500,000, a closer one more seldom. Each candidate is checked exactly, on the sets of shingles themselves.
 
 Nodes are settled in order of id: one stays unless it is similar to an earlier one that stays. Candidates fall into
-clusters, the components of shared bands; a cluster of up to LARGE nodes is settled in one task, from one copy of its
-sets. Larger ones are settled in rounds: the nodes that are the first open one of all their bands stay, and what is
-open beside them is checked against them, so a band gives as many pairs a round as it has rows. Rounds go on until no
-band holds two open nodes.
+clusters, the components of shared bands; a cluster of up to LARGE nodes and LARGE * SHINGLES shingles is settled in one
+task, from one copy of its sets. Larger ones are cut into blocks by id, and blocks are settled in turn: one task settles
+a block, and what stays of it is held against each later block in a task of its own. So there are as many rounds as
+blocks, however few nodes a cluster loses. Nodes are only compared where their rarest shingles meet: of two sets of
+similarity 0.8, the rarest fifth of each, and one shingle more, share one.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from .common import cut, over_batches, sole
 from .simhash import STRIDE, shingle_hashes, stars
 
 WIDTH, BANDS, ROWS = 5, 25, 4
-#: Nodes of the largest cluster that one task settles.
-LARGE = 5000
+#: Nodes of the largest cluster that one task settles, and the mean of their shingles.
+LARGE, SHINGLES = 5000, 1000
+#: Sets that are compared with one at once.
+SOME = 256
 
 
 def _words(texts: list[str | None]) -> list[list[bytes]]:
@@ -90,29 +93,51 @@ def _shared(keys: DataFrame) -> DataFrame:
     return keys.join(keys.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("k"), "k", "left_semi")
 
 
+def _similar(sets: list[pa.ChunkedArray], known: int, grow: bool) -> np.ndarray:
+    """Of sets (not empty) in order: which are similar to an earlier one that stays. The first `known` stay; later ones only count for others if grow."""
+    flat = np.concatenate([s.combine_chunks().flatten().to_numpy() for s in sets])
+    sizes = np.concatenate([s.combine_chunks().value_lengths().to_numpy() for s in sets]).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    _, at, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))  # rarest first
+    at, lone = rank[at], int((counts == 1).sum())
+    mark, gone = np.zeros(len(counts), bool), np.zeros(len(sizes), bool)
+    held: dict[int, list[int]] = {}
+    for i, (lo, n) in enumerate(zip(starts, sizes)):
+        mine = np.sort(at[lo : lo + n])
+        rare = mine[: n - (4 * n + 4) // 5 + 1]
+        rare = rare[rare >= lone].tolist()
+        if i >= known:
+            near = np.array(sorted({j for t in rare for j in held.get(t, ())}), np.int64)
+            near = near[5 * np.minimum(sizes[near], n) >= 4 * np.maximum(sizes[near], n)]
+            mark[mine] = True
+            for k in range(0, len(near), SOME):
+                some = near[k : k + SOME]
+                ends = np.cumsum(sizes[some])
+                first = ends - sizes[some]
+                common = np.add.reduceat(mark[at[np.arange(ends[-1]) + np.repeat(starts[some] - first, sizes[some])]], first, dtype=np.int64)
+                if (5 * common >= 4 * (sizes[some] + n - common)).any():
+                    gone[i] = True
+                    break
+            mark[mine] = False
+        if i < known or (grow and not gone[i]):
+            for t in rare:
+                held.setdefault(t, []).append(i)
+    return gone
+
+
 def _settle(cluster: pa.Table) -> pa.Table:
     """The nodes of a cluster that go."""
     cluster = cluster.sort_by([("doc_id", "ascending"), ("d", "ascending")])
-    column = cluster["s"].combine_chunks()
-    flat = column.flatten().to_numpy()
-    vocabulary, at = np.unique(flat, return_inverse=True)
-    ends = np.cumsum(column.value_lengths().to_numpy())
-    mark = np.zeros(len(vocabulary), bool)
-    held, starts, sizes, used = np.empty(len(flat), np.int64), [], [], 0
-    gone = np.zeros(len(ends), bool)
-    for i, (lo, hi) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
-        mine = at[lo:hi]
-        mark[mine] = True
-        if starts:
-            common = np.add.reduceat(mark[held[:used]], starts, dtype=np.int64)
-            gone[i] = (5 * common >= 4 * (np.array(sizes) + len(mine) - common)).any()
-        mark[mine] = False
-        if not gone[i]:
-            held[used : used + len(mine)] = mine
-            starts.append(used)
-            sizes.append(len(mine))
-            used += len(mine)
-    return cluster.select(["d"]).filter(pa.array(gone))
+    return cluster.select(["d"]).filter(pa.array(_similar([cluster["s"]], 0, True)))
+
+
+def _beaten(stay: pa.Table, later: pa.Table) -> pa.Table:
+    """The later nodes that are similar to one of those that stay."""
+    if not stay.num_rows or not later.num_rows:
+        return later.select(["d"]).slice(0, 0)
+    return later.select(["d"]).filter(pa.array(_similar([stay["t"], later["s"]], stay.num_rows, False)[stay.num_rows :]))
 
 
 def kept(docs: DataFrame, among: DataFrame | None = None, large: int = LARGE) -> DataFrame:
@@ -131,25 +156,25 @@ def kept(docs: DataFrame, among: DataFrame | None = None, large: int = LARGE) ->
     ids = cut(ids.join(star.withColumnRenamed("node", "d"), "d", "left").select("doc_id", "d", F.coalesce("root", "d").alias("root")))
     texts = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
     held = cut(_hashed(texts, "s", sets).join(ids, ["doc_id", "d"]).groupBy("doc_id", "d", "root").agg(F.first("s").alias("s")))
-    big = cut(ids.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") > large).select("root"))
+    blocks = F.ceil(F.greatest(F.count("*") / large, F.sum(F.size("s")) / (large * SHINGLES)))
+    big = cut(held.groupBy("root").agg(blocks.alias("n")).where(F.col("n") > 1).select("root", "n"))
     gone = cut(held.join(big, "root", "left_anti").groupBy("root").applyInArrow(_settle, "d long"))
-    if not big.isEmpty():
-        some = ids.join(big, "root", "left_semi").select(F.struct("doc_id", "d").alias("o"))
-        gone = gone.unionByName(_rounds(cut(keys.join(some, "o", "left_semi")), held))
+    if most := big.agg(F.max("n")).first()[0]:
+        gone = gone.unionByName(_rounds(held.join(big.select("root"), "root"), most))
     return nodes.join(gone, "d", "left_anti").groupBy("doc_id").agg(F.sum("n").alias("n"))
 
 
-def _rounds(keys: DataFrame, held: DataFrame) -> DataFrame:
-    """The nodes (d) that go of keys (k, o: struct of doc_id and d); held has their sets."""
+def _rounds(held: DataFrame, n: int) -> DataFrame:
+    """The nodes (d) that go of clusters (doc_id, d, root, s), settled in n blocks by id."""
+    bounds = cut(held.groupBy("root").agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10000, 20 * n)).alias("bounds")))
+    nodes = cut(held.join(bounds, "root").select("doc_id", "d", "root", "s", F.size(F.filter("bounds", lambda b: b < F.col("doc_id"))).alias("block")))
     gone = None
-    while not keys.isEmpty():
-        seen = keys.join(keys.groupBy("k").agg(F.min("o").alias("first")), "k")
-        free = cut(seen.groupBy("o").agg(F.bool_and(F.col("first") == F.col("o")).alias("free")).where("free").select("o"))
-        pairs = cut(seen.where(F.col("first") != F.col("o")).join(free.select(F.col("o").alias("first")), "first", "left_semi").select("o", F.col("first.d").alias("x"), F.col("o.d").alias("y")).distinct())
-        both = pairs.join(held.select(F.col("d").alias("x"), F.col("s").alias("a")), "x").join(held.select(F.col("d").alias("y"), F.col("s").alias("b")), "y")
-        a, b, common = F.size("a"), F.size("b"), F.size(F.array_intersect("a", "b"))
-        close = both.where((5 * F.least(a, b) >= 4 * F.greatest(a, b)) & (5 * common >= 4 * (a + b - common)))
-        now = cut(close.select("o").distinct())
-        gone = now.select("o.d") if gone is None else cut(gone.unionByName(now.select("o.d")))
-        keys = cut(_shared(keys.join(free.unionByName(now), "o", "left_anti")))
+    for block in range(n):
+        now, later = nodes.where(F.col("block") == block), nodes.where(F.col("block") > block)
+        went = (now if gone is None else now.join(gone, "d", "left_anti")).groupBy("root").applyInArrow(_settle, "d long")
+        gone = cut(went if gone is None else gone.unionByName(went))
+        if block + 1 < n:
+            stay = now.join(gone, "d", "left_anti").select(F.col("root").alias("r"), F.col("s").alias("t"), F.explode(F.sequence(F.lit(block + 1), F.lit(n - 1))).alias("b"))
+            later = later.join(gone, "d", "left_anti")
+            gone = cut(gone.unionByName(stay.groupBy("r", "b").cogroup(later.groupBy("root", "block")).applyInArrow(_beaten, "d long")))
     return gone

@@ -54,3 +54,16 @@ def test_similar_texts_go_in_order_of_id(spark):
         assert sorted(r.doc_id for r in resemble.kept(df, large=large).collect()) == want
     some = [r for r in rows if r[0] % 3]
     assert sorted(r.doc_id for r in resemble.kept(df, df.where("doc_id % 3 <> 0").select("doc_id")).collect()) == stay(some)
+
+
+def test_rounds_follow_the_blocks_where_bands_are_shared_and_nothing_is_similar(spark, monkeypatch):
+    rng, real, cuts = random.Random(4), resemble.cut, []
+    common = [f"c{k}" for k in range(60)]
+    rows = [(i, " ".join(common + [f"w{rng.randrange(10**9)}" for _ in range(24)] + ["end"] * (i % 2))) for i in range(60)]  # similarity about 0.54
+    rows += [(100 + i, rows[i][1] + f" z{i}") for i in range(0, 60, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    monkeypatch.setattr(resemble, "cut", lambda d: cuts.append(1) or real(d))
+    want = stay(rows)
+    assert want == list(range(60))
+    assert sorted(r.doc_id for r in resemble.kept(df, large=20).collect()) == want
+    assert len(cuts) <= 6 + 2 + 2 * 4
