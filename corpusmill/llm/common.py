@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker handles at once, whatever the size of the Arrow batch.
 BLOCK_BYTES = 3 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +38,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is made and run inside has its shuffle files removed when it ends.
+
+    Else they stay until the driver happens to collect its garbage; with many partitions, small files of many rounds
+    then fill disks.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint; rows are computed once and then only read."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with tidy(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # select: what a plan leaves behind is settled when it is made
 
 
 def scratch(spark: SparkSession, what: str) -> str:

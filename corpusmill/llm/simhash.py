@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, over_batches, sole
+from .common import cut, over_batches, sole, tidy
 
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 SEED, BITS, STRIDE = 42, 64, 200_000
@@ -340,7 +340,8 @@ def stars(edges: DataFrame) -> DataFrame:
         down = cut(large.groupBy("b").agg(F.min("a").alias("l")))
         small = large.join(down, "b").select(F.col("l").alias("a"), F.explode(F.array("a", "b")).alias("b")).where(F.col("a") != F.col("b")).distinct()
         e = cut(small)
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        with tidy(e.sparkSession):
+            state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
         seen = state
