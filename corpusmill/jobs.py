@@ -6,6 +6,7 @@ Each takes a session and gives a DataFrame; write_* and the command line put it
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,10 +96,14 @@ ROW = "url string, video_url string, title string, content string, text string,
 
 
 def corpus(spark: SparkSession, folder: str, language: str, sources: tuple[str, ...] = ("news", "social", "wiki", "docs"), platforms: tuple[str, ...] = ("vk", "rutube", "telegram")) -> DataFrame:
-    """The unified corpus of a language from collected rows: news/, social/{posts,comments,rutube,telegram}/, wiki/ and documents/ under a folder, as JSON lines."""
+    """The unified corpus of a language from collected rows: news/, social/{posts,comments,rutube,telegram}/, wiki/ and documents/ under a folder, as JSON lines.
 
-    def read(name: str, category: str = "category string") -> DataFrame:
-        return files.read_jsonl(spark, f"{folder}/{name}", f"{ROW}, {category}", recursive=True)
+    Of rows that share an address, or without one a content, the first stays: by source, then by kind of post, then as
+    the rows stand in their files. A category may be a string or a list, of which the first counts.
+    """
+
+    def read(name: str, category: str = "category variant") -> DataFrame:
+        return files.read_jsonl(spark, f"{folder}/{name}", f"{ROW}, {category}", recursive=True, place="seq")
 
     want, parts = F.lit(language), []
     if "news" in sources:
@@ -109,17 +114,15 @@ def corpus(spark: SparkSession, folder: str, language: str, sources: tuple[str,
         known = {"vk": [(read("social/posts"), "social_vk_post"), (comments, "social_vk_comment")], "rutube": [(rutube, "social_rutube")], "telegram": [(read("social/telegram"), "social_telegram")]}
         parts += [("social", unify.unify(df, kind)) for p in platforms for df, kind in known[p]]
     if "wiki" in sources:
-        rows = read("wiki", "categories array<string>")
-        prefix = files.wiki_language(files.file_name())
-        mine = rows.where(~files.file_name().endswith("_all.jsonl") | (prefix == "") | (prefix == language))
+        rows = read("wiki", "categories array<string>").withColumn("file", F.element_at(F.split("seq.file", "/"), -1))
+        prefix = files.wiki_language(F.col("file"))
+        mine = rows.where(~F.col("file").endswith("_all.jsonl") | (prefix == "") | (prefix == language))
         parts.append(("wiki", unify.wiki(mine)))
     if "docs" in sources:
         parts.append(("document", unify.unify(read("documents"), "document")))
-    ranked = [df.withColumn("language", X.first_filled("language", want)).withColumn("source_rank", F.lit(unify.RANKS[k])) for k, df in parts]
-    whole = ranked[0]
-    for df in ranked[1:]:
-        whole = whole.unionByName(df)
-    return dedup.first_wins(whole.withColumn("seq", F.xxhash64(*unify.CORPUS)), dedup.corpus_key(), ["source_rank", "seq"]).select(*unify.CORPUS)
+    order = ["source_rank", "part", "seq"]
+    ranked = [df.withColumn("language", X.first_filled("language", want)).withColumns({"source_rank": F.lit(unify.RANKS[k]), "part": F.lit(i)}) for i, (k, df) in enumerate(parts)]
+    return dedup.first_wins(reduce(DataFrame.unionByName, ranked), dedup.corpus_key(), order).select(*unify.CORPUS)
 
 
 def wiki(spark: SparkSession, dump: str, project: str, least: int = 100, prefix: str | None = None, transliterate: bool = False) -> DataFrame:

@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StructType, VariantType
 
 from ..functions.text import normal_form
 
 
 def first_wins(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
-    """Of the rows that share a key the first by order, which names each row; rows with a null key go.
+    """Of the rows that share a key one, the first by order, ties by what else the row holds; rows with a null key go.
 
-    The least order is found by an aggregation that combines before it shuffles, on the key's digest, and the winners
-    are joined back on the order itself, so a key with very many rows burdens no task and texts are shuffled once.
+    Each task brings its own winners only: the least row of a key's digest is carried through an aggregation that
+    combines before it shuffles, so a key with very many rows burdens no task, and df is evaluated once. Rows alike in
+    everything are one row afterwards.
     """
     names = df.columns
+    rest = [n for n in names if n not in order]
+    whole = F.struct(*[F.col(f"`{n}`").alias(n) for n in [*order, *rest]])
+    orderable = [n for n in rest if not _holds_unordered(df.schema[n].dataType)]
+    least = F.min(whole) if len(orderable) == len(rest) else F.min_by(whole, F.struct(*[F.col(f"`{n}`") for n in [*order, *orderable]]))
     rows = df.withColumn("__k", F.sha2(key, 256)).where(F.col("__k").isNotNull())
-    least = rows.groupBy("__k").agg(F.min(F.struct(*order)).alias("__o")).select(*[F.col(f"__o.{o}").alias(f"__{i}") for i, o in enumerate(order)])
-    same = reduce(and_, [F.col(o).eqNullSafe(F.col(f"__{i}")) for i, o in enumerate(order)])  # a null in the order names a row too
-    return rows.join(least, same, "left_semi").select(*names)
+    return rows.groupBy("__k").agg(least.alias("__r")).select(*[F.col(f"__r.`{n}`").alias(n) for n in names])
+
+
+def _holds_unordered(kind: DataType) -> bool:
+    """Whether values of a type can't be compared."""
+    if isinstance(kind, StructType):
+        return any(_holds_unordered(f.dataType) for f in kind)
+    return isinstance(kind, (MapType, VariantType)) or isinstance(kind, ArrayType) and _holds_unordered(kind.elementType)
 
 
 def corpus_key(url: str = "url", content: str = "content") -> Column:
@@ -81,8 +89,6 @@ def _bands(texts: pd.Series, bands: int, rows: int, width: int) -> list[np.ndarr
 
 def minhash_bands(df: DataFrame, text: str, bands: int = 9, rows: int = 28, width: int = 5, least: int = 500) -> DataFrame:
     """df without its text and with band (array of long): hashes of groups of MinHash values over distinct character shingles."""
-    from pyspark.sql.types import ArrayType, LongType
-
     run = F.pandas_udf(lambda s: pd.Series(_bands(s, bands, rows, width)), ArrayType(LongType()))
     norm = df.withColumn("__t", normal_form(text)).where(F.length("__t") >= least)
     return norm.withColumn("band", run("__t")).drop("__t", text)

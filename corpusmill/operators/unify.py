@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, VariantType
 
 from ..functions.text import col, first_filled, strip
 
@@ -14,6 +15,16 @@ CORPUS = ["url", "title", "content", "author", "date", "category", "source_type"
 RANKS = {"news": 0, "social": 1, "wiki": 2, "document": 3}
 
 
+def first_of(c: Column, kind: DataType) -> Column:
+    """A value as a string; of a list the first, null of an empty one. A variant may hold either."""
+    if isinstance(kind, ArrayType):
+        return F.get(c, F.lit(0)).cast("string")
+    if isinstance(kind, VariantType):
+        one, first = (F.try_variant_get(c, p, "string") for p in ("$", "$[0]"))
+        return F.when(F.schema_of_variant(c).startswith("ARRAY"), first).otherwise(one)
+    return c.cast("string")
+
+
 def unify(df: DataFrame, source_type: Column | str, language: Column | None = None) -> DataFrame:
     """The corpus columns from whichever of the usual fields a source has; a list of categories gives its first."""
     have = set(df.columns)
@@ -22,9 +33,7 @@ def unify(df: DataFrame, source_type: Column | str, language: Column | None = No
         found = [F.col(n).cast("string") for n in names if n in have]
         return first_filled(*found) if found else F.lit(None).cast("string")
 
-    category = F.lit(None).cast("string")
-    if "category" in have:
-        category = F.get("category", F.lit(0)) if dict(df.dtypes)["category"].startswith("array") else F.col("category")
+    category = first_of(F.col("category"), df.schema["category"].dataType) if "category" in have else F.lit(None).cast("string")
     lang = first_filled(language, pick("language", "default_language")) if language is not None else pick("language", "default_language")
     return df.select(
         *[c for c in ("seq",) if c in have],

@@ -27,21 +27,39 @@ def corpus_rows(spark, sf_dir, whole=False):
     return unify.corpus({"news": unify.unify(pages, "news"), "social": unify.unify(talks, "social_vk_post"), "wiki": unify.wiki(articles, F.lit("tt")), "document": unify.unify(docs, "document")})
 
 
-@query(
-    "corpus_unify_dedup",
-    f"""WITH rows AS (
+UNIFIED = f"""WITH rows AS (
       SELECT page_id AS seq, 0 AS source_rank, nullif(url, '') AS url, {S.strip("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS title, {S.strip("regexp_extract(html, '<p>([^<]*)</p>', 1)")} AS content,
         CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS category, 'news' AS source_type, nullif(regexp_extract(html, '<html[^>]*lang="([^"]+)"', 1), '') AS language FROM pages
       UNION ALL SELECT conv_id * 100000 + turn, 1, 'https://vk.com/wall0_' || conv_id, {S.strip("substr(text, 1, 120)")}, {S.strip("text")}, nullif(role, ''), NULL, NULL, 'social_vk_post', NULL FROM conversations
       UNION ALL SELECT item_id, 2, 'https://tt.wikipedia.org/wiki/Item_' || item_id, 'Item ' || item_id, {S.strip("coalesce(text, '')")}, NULL, NULL, 'Part ' || item_id % 3, 'wiki', 'tt' FROM benchmark
       UNION ALL SELECT doc_id, 3, NULL, '', {S.strip("coalesce(text, '')")}, NULL, NULL, source, 'document', nullif(lang, '') FROM documents)
     SELECT url, title, content, author, date, category, source_type, language FROM rows WHERE coalesce(url, nullif(content, '')) IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY coalesce(url, content) ORDER BY source_rank, seq) = 1""",
-)
+    QUALIFY row_number() OVER (PARTITION BY coalesce(url, content) ORDER BY source_rank, seq) = 1"""
+
+
+@query("corpus_unify_dedup", UNIFIED)
 def corpus_unify_dedup(spark, sf_dir):
     return dedup.first_wins(corpus_rows(spark, sf_dir), dedup.corpus_key(), ["source_rank", "seq"]).select(*unify.CORPUS)
 
 
+@query("corpus_unify_repeated", UNIFIED)
+def corpus_unify_repeated(spark, sf_dir):
+    """corpus_unify_dedup where each row comes twice, alike in everything: as from a file that was collected twice."""
+    rows = corpus_rows(spark, sf_dir)
+    return dedup.first_wins(rows.withColumn("twice", F.explode(F.array(F.lit(1), F.lit(1)))).drop("twice"), dedup.corpus_key(), ["source_rank", "seq"]).select(*unify.CORPUS)
+
+
+@query(
+    "first_of_equal_order",
+    """SELECT k, doc_id, text FROM (SELECT lang AS k, doc_id, text FROM documents UNION ALL SELECT lang, doc_id, text || '!' FROM documents) WHERE k IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, text) = 1""",
+)
+def first_of_equal_order(spark, sf_dir):
+    """Of rows that two inputs hold under the same key and order, one of each key, the lesser by what else it holds."""
+    rows = table(spark, sf_dir, "documents").select(F.col("lang").alias("k"), "doc_id", "text")
+    return dedup.first_wins(rows.unionByName(rows.withColumn("text", F.concat("text", F.lit("!")))), F.col("k"), ["doc_id"])
+
+
 @query("corpus_unify_whole")
 def corpus_unify_whole(spark, sf_dir):
     """corpus_unify_dedup with the whole content of pages."""

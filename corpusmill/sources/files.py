@@ -33,17 +33,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return found
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Rows of JSON lines; blank and broken lines are left out; a missing path gives no rows."""
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, glob: str | None = None, recursive: bool = False, place: str | None = None) -> DataFrame:
+    """Rows of JSON lines; blank and broken lines are left out; a missing path gives no rows.
+
+    place: the name of a column struct(file, block, row) that orders rows as they stand in the files, files by path. A
+    block of a file is read whole by one task, so rows of a block compare by the number that the task gives them,
+    whatever task it is, and blocks of a file by where they begin.
+    """
     reader = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        return reader.json(path)
+        rows, m = reader.json(path), F.col("_metadata")
+        return rows.withColumn(place, F.struct(m["file_path"].alias("file"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))) if place else rows
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], f"{schema}, `{place}` struct<file:string,block:bigint,row:bigint>" if place else schema)
 
 
 def file_name() -> Column:

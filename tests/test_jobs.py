@@ -85,6 +85,22 @@ def test_corpus_of_collected_rows(spark, tmp_path):
     assert {r.source_type for r in jobs.corpus(spark, str(tmp_path), "tt", ("wiki",)).collect()} == {"wiki"}
 
 
+def test_corpus_keeps_the_first_in_file_order_and_reads_list_categories(spark, tmp_path):
+    same = {"url": "u", "title": "T", "content": "one", "category": ["A", "B"]}
+    put(tmp_path / "news/b.jsonl", {"url": "u", "content": "a later file"}, *[{"url": f"n{i}", "content": f"z{i}", "category": c} for i, c in enumerate(["plain", [], None, [None, "x"], '["A"]', 7])])
+    put(tmp_path / "news/a.jsonl", *[same] * 3, {"url": "u", "title": "A", "content": "a lesser row, later in the file"}, {"content": "no address"}, {"content": "no address", "title": "second"})
+    put(tmp_path / "news/c.jsonl", *[{"url": f"c{i % 50}", "content": f"{9999 - i}"} for i in range(2000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # many blocks of a file
+    try:
+        rows = {r.url or r.content: r for r in jobs.corpus(spark, str(tmp_path), "tt", ("news", "docs", "wiki")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == jobs.corpus(spark, str(tmp_path), "tt").count() == 58
+    assert (rows["u"].content, rows["u"].category) == ("one", "A") and rows["no address"].title == ""
+    assert [rows[f"n{i}"].category for i in range(6)] == ["plain", None, None, None, '["A"]', "7"]
+    assert all(rows[f"c{i}"].content == f"{9999 - i}" for i in range(50))
+
+
 def test_verbs(spark, tmp_path, capsys):
     xml = f"<mediawiki><page><title>A b</title><ns>0</ns><revision><text>'''x''' {LONG}</text></revision></page><page><title>R</title><ns>0</ns><revision><text>#REDIRECT [[A]]</text></revision></page></mediawiki>"
     (tmp_path / "d.xml.bz2").write_bytes(bz2.compress(xml.encode()))

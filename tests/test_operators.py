@@ -23,6 +23,15 @@ def test_first_wins(spark):
     assert sorted((r.url, r.content, r.seq) for r in got) == [("", "c", 4), ("u1", "a", 1)]
 
 
+def test_first_wins_leaves_one_of_rows_alike_in_order(spark):
+    rows = [("k", 0, "b"), ("k", 0, "a"), ("k", 0, "a"), ("k", 1, "z"), ("m", 0, "a"), ("m", 0, "a"), (None, 0, "x")] * 2
+    df = spark.createDataFrame(rows, "k string, at int, v string")
+    assert sorted(map(tuple, dedup.first_wins(df, F.col("k"), ["at"]).collect())) == [("k", 0, "a"), ("m", 0, "a")]
+    assert dedup.first_wins(df.limit(0), F.col("k"), ["at"]).collect() == []
+    maps = df.withColumn("m", F.create_map("k", "v")).where("k is not null")
+    assert sorted((r.k, r.v, r.m[r.k]) for r in dedup.first_wins(maps, F.col("k"), ["at"]).collect()) == [("k", "a", "a"), ("m", "a", "a")]
+
+
 def test_greedy_near_duplicates_keep_what_a_scan_keeps(spark):
     files.ensure_checkpoint_dir(spark)
     rng = random.Random(1)
