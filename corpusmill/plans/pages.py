@@ -210,14 +210,33 @@ def link_table(spark, sf_dir):
     return ids.select(F.col("page_id").cast("string").alias("src"), F.explode(to).alias("dst"))
 
 
-@query(
-    "crawl_bfs",
-    """WITH RECURSIVE l AS (SELECT CAST(page_id AS VARCHAR) AS src, CAST(unnest([2 * page_id + 1, 2 * page_id + 2, page_id // 3]) AS VARCHAR) AS dst FROM pages),
-    r(url, depth) AS (SELECT '0', 0 UNION SELECT l.dst, r.depth + 1 FROM r JOIN l ON l.src = r.url WHERE r.depth < 4) SELECT url, min(depth) AS depth FROM r GROUP BY url""",
-)
+BFS = """WITH RECURSIVE l AS (SELECT CAST(page_id AS VARCHAR) AS src, CAST(unnest([2 * page_id + 1, 2 * page_id + 2, page_id // 3]) AS VARCHAR) AS dst FROM pages),
+    r(url, depth) AS (SELECT '0', 0 UNION SELECT l.dst, r.depth + 1 FROM r JOIN l ON l.src = r.url WHERE r.depth < 4) SELECT url, min(depth) AS depth FROM r GROUP BY url"""
+
+
+@query("crawl_bfs", BFS)
 def crawl_bfs(spark, sf_dir):
     from ..sources.files import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     seeds = spark.sql("SELECT '0' AS url")
     return graph.crawl(link_table(spark, sf_dir), seeds, max_depth=4)
+
+
+@query("crawl_frontier", BFS)
+def crawl_frontier(spark, sf_dir):
+    """crawl_bfs as a stream: the visited set is state by host, each batch fetches a level and writes the links it finds."""
+    import uuid
+
+    from ..sources.files import ensure_checkpoint_dir
+    from ..streaming import frontier
+
+    host = lambda c: (F.col(c) % 8).cast("string").alias("host")
+    folder = f"{ensure_checkpoint_dir(spark)}/crawl-{uuid.uuid4().hex}"
+    seeds = spark.sql("SELECT '0' AS host, '0' AS url")
+
+    def links(pages):
+        return pages.join(link_table(pages.sparkSession, sf_dir), F.col("url") == F.col("src")).select(host("dst"), F.col("dst").alias("url"), "depth")
+
+    frontier.Crawl(spark, folder, seeds, lambda batch: batch, links, frontier.Frontier(max_depth=4, max_pages=1 << 30)).until_quiet()
+    return frontier.visited(spark, folder).select("url", "depth")
