@@ -94,25 +94,67 @@ def minhash_bands(df: DataFrame, text: str, bands: int = 9, rows: int = 28, widt
     return norm.withColumn("band", run("__t")).drop("__t", text)
 
 
-def greedy_near_duplicates(banded: DataFrame, id_col: str) -> DataFrame:
+#: Rows of which one task settles a run in order, where rounds over all of them settle too few.
+RUN = 100_000
+
+
+def greedy_near_duplicates(banded: DataFrame, id_col: str, run: int = RUN) -> DataFrame:
     """(id, retained): rows in order of id; a row that shares a band with a retained earlier row is not retained.
 
     A row is settled once all its earlier neighbours are: retained if none of them is retained. Neighbours are found
     through bands, not listed as pairs: in each round every band passes on its least retained and least open id. Settled
-    rows leave the bands, which keep only their least retained id, so a round reads what is open. Each round settles the
-    least open id at least, and rounds go on until no row is open.
+    rows leave the bands, which keep only their least retained id, so a round reads what is open. Such rounds settle
+    groups of copies, however large, at once, but of a chain in which each row is like the one before it only the head.
+    So after a round that settled fewer than `run` rows, the `run` least open rows are settled in order by one task,
+    which holds their bands and nothing else; no row outside can come before them. Rounds go on until no row is open.
     """
     keys = banded.select(F.col(id_col).alias("id"), F.explode("band").alias("k")).distinct().checkpoint()
     alone = keys.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("k").checkpoint()
-    settled = keys.select("id").distinct().join(keys.join(alone, "k", "left_semi").select("id").distinct(), "id", "left_anti").withColumn("retained", F.lit(True)).checkpoint()
-    keys, kept = keys.join(alone, "k", "left_semi").checkpoint(), None
-    while not keys.isEmpty():
-        first = keys.groupBy("k").agg(F.min("id").alias("open"))
-        first = first.withColumn("kept", F.lit(None).cast(keys.schema["id"].dataType)) if kept is None else first.join(kept, "k", "left")
-        met = keys.join(first.checkpoint(), "k").groupBy("id").agg(F.max(F.coalesce(F.col("kept") < F.col("id"), F.lit(False))).alias("hit"), F.max(F.col("open") < F.col("id")).alias("wait"))
-        now = met.where(F.col("hit") | ~F.col("wait")).select("id", (~F.col("hit")).alias("retained")).checkpoint()
-        settled = settled.unionByName(now)
+    settled = [keys.select("id").distinct().join(keys.join(alone, "k", "left_semi").select("id").distinct(), "id", "left_anti").withColumn("retained", F.lit(True)).checkpoint()]
+    keys = keys.join(alone, "k", "left_semi").checkpoint()
+    kept = keys.limit(0).select("k", F.col("id").alias("kept"))
+
+    def settle(now: DataFrame) -> None:
+        nonlocal keys, kept
+        settled.append(now)
         mine = keys.join(now.where("retained").select("id"), "id", "left_semi").groupBy("k").agg(F.min("id").alias("kept"))
-        kept = (mine if kept is None else mine.unionByName(kept).groupBy("k").agg(F.min("kept").alias("kept"))).checkpoint()
+        kept = mine.unionByName(kept).groupBy("k").agg(F.min("kept").alias("kept")).checkpoint()
         keys = keys.join(now, "id", "left_anti").checkpoint()
-    return settled.select("id", "retained")
+
+    while not keys.isEmpty():
+        first = keys.groupBy("k").agg(F.min("id").alias("open")).join(kept, "k", "left")
+        met = keys.join(first, "k").groupBy("id").agg(F.max(F.coalesce(F.col("kept") < F.col("id"), F.lit(False))).alias("hit"), F.max(F.col("open") < F.col("id")).alias("wait"))
+        now = met.where(F.col("hit") | ~F.col("wait")).select("id", (~F.col("hit")).alias("retained")).checkpoint()
+        few = now.count() < run
+        settle(now)
+        if few and not keys.isEmpty():
+            last = keys.select("id").distinct().orderBy("id").limit(run).agg(F.max("id")).first()[0]
+            settle(_in_order(keys.where(F.col("id") <= last).join(kept, "k", "left")).checkpoint())
+    out = settled[0]
+    for s in settled[1:]:
+        out = out.unionByName(s)
+    return out.select("id", "retained")
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """(id, retained) of a bounded run of open rows (id, k, kept), settled one after the other."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: dict = {}
+        for batch in batches:
+            for i, k, kept in zip(*[c.to_pylist() for c in batch.columns]):
+                held.setdefault(i, []).append((k, kept))
+        taken, ids, retained = set(), [], []
+        for i in sorted(held):
+            free = all((kept is None or kept >= i) and k not in taken for k, kept in held[i])
+            if free:
+                taken.update(k for k, _ in held[i])
+            ids.append(i)
+            retained.append(free)
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(retained)], names=["id", "retained"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "k", "kept").coalesce(1).mapInArrow(run, f"id {kind}, retained boolean")

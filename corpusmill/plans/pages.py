@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import predicates, siterules as R, text as X, urls
-from ..operators import dedup, graph
+from ..operators import dedup, graph, patterns
 from . import sql as S
 from .registry import query, table
 
@@ -31,8 +31,8 @@ def site_longest_match(spark, sf_dir):
     """Each page's site: the longest pattern inside its host, ties to the greater key. The rules are a configuration, a few rows."""
     sites = spark.createDataFrame(SITES, "pattern string, site string")
     pages = table(spark, sf_dir, "pages").select("page_id", urls.domain("url").alias("domain"))
-    best = pages.join(F.broadcast(sites), F.col("domain").contains(F.col("pattern"))).groupBy("page_id").agg(F.max_by("site", F.struct(F.length("pattern"), "site")).alias("site"))
-    return pages.join(best, "page_id", "left").withColumn("site", F.coalesce("site", F.lit("default")))
+    best = patterns.longest_match(pages, "domain", sites)
+    return pages.join(best, F.col("domain") == F.col("text"), "left").select("page_id", "domain", F.coalesce("value", F.lit("default")).alias("site"))
 
 
 NOISY = ("", "/login", "/video/7", "?to=YouTube.com", "/a/registered", "/Special-Projects/x")

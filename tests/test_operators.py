@@ -177,19 +177,21 @@ def test_one_document_of_items_and_file_statistics(spark, tmp_path):
     assert [tuple(r) for r in files.file_statistics(spark, str(tmp_path / "logs")).collect()] == [("s_2024-01-01_articles.jsonl", 2, 0.0)]
 
 
-def test_a_chain_of_near_duplicates_is_settled(spark):
-    from corpusmill.operators import dedup
-    from corpusmill.sources.files import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    rows = [(i, [i, i + 1]) for i in range(40)] + [(100 + i, [1000]) for i in range(5)] + [(200, [7777])]
-    got = {r.id: r.retained for r in dedup.greedy_near_duplicates(spark.createDataFrame(rows, "i long, band array<long>"), "i").collect()}
-    kept, want = [], {}
+@pytest.mark.parametrize("n, run", [(10_000, dedup.RUN), (100, 40)])
+def test_chains_of_near_duplicates_are_settled_in_few_rounds(spark, n, run):
+    """Chains, thick chains in which each row is like the two before it, and a group of copies."""
+    files.ensure_checkpoint_dir(spark)
+    rows = [(i, [i, i + 1]) for i in range(n)] + [(20_000 + i, [-i - 1, -i - 2, -i - 3]) for i in range(n // 4)] + [(50_000 + i, [1 << 40]) for i in range(500)] + [(90_000, [7 << 40])]
+    spark.sparkContext.setJobGroup("chain", "chain")
+    got = {r.id: r.retained for r in dedup.greedy_near_duplicates(spark.createDataFrame(rows, "i long, band array<long>"), "i", run).collect()}
+    kept, want = set(), {}
     for i, bands in sorted(rows):
-        want[i] = not any(set(bands) & k for k in kept)
+        want[i] = not kept & set(bands)
         if want[i]:
-            kept.append(set(bands))
+            kept |= set(bands)
     assert got == want
+    if run > 1000:
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 60
 
 
 def test_first_wins_keeps_rows_with_a_null_order(spark):
