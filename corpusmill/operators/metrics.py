@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.text import share, tokens
+from .ranks import exact_medians
 
 
 def counts(df: DataFrame, group: list[str], text: str = "text") -> DataFrame:
@@ -79,8 +80,10 @@ def verdicts(df: DataFrame, group: list[str], value: str, verdict: str) -> DataF
 
 
 def summary(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """n, mean, median, min, max of a number."""
-    return df.groupBy(*group).agg(F.count(value).alias("n"), F.round(F.avg(value), 4).alias("mean"), F.median(value).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"))
+    """n, mean, median, min, max of a number by group; medians are exact, and no task holds a group's values."""
+    simple = df.groupBy(*group).agg(F.count(value).alias("n"), F.round(F.avg(value), 4).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
+    middle = exact_medians(df, group, value).select(F.struct(*group).alias("__g"), "median")
+    return simple.join(middle, F.struct(*[simple[g] for g in group]) == F.col("__g")).select(*[simple[g] for g in group], "n", "mean", "median", "min", "max")
 
 
 def f1(p: Column, r: Column) -> Column:
@@ -97,11 +100,23 @@ def word_overlap(a: Column | str, b: Column | str) -> Column:
 
 
 def rouge_1(a: Column | str, b: Column | str) -> Column:
-    """F1 of the multiset overlap of two arrays of words, counted inside the row: each word that both have counts as often
-    as in the one with fewer."""
-    x, y = (F.col(c) if isinstance(c, str) else c for c in (a, b))
-    shared = F.transform(F.array_intersect(x, y), lambda w: F.least(F.size(F.filter(x, lambda v: v == w)), F.size(F.filter(y, lambda v: v == w))))
-    o = F.aggregate(shared, F.lit(0), lambda acc, n: acc + n).cast("double")
+    """F1 of the multiset overlap of two arrays of words: each word that both have counts as often as in the one with fewer.
+
+    Both arrays are sorted and passed through once together, inside the row.
+    """
+    x, y = (F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast("array<string>")) for c in (a, b))
+
+    def merged(s: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            v, w = F.get(s["x"], at["i"]), F.get(s["y"], at["j"])
+            move = lambda i, j, n: F.struct((at["i"] + i).alias("i"), (at["j"] + j).alias("j"), (at["n"] + n).alias("n"))
+            return F.when(v == w, move(1, 1, 1)).when(v < w, move(1, 0, 0)).when(v > w, move(0, 1, 0)).otherwise(at)  # null beyond an end
+
+        start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("n"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(s["x"]) + F.size(s["y"])), start, step, lambda at: at["n"])
+
+    both = F.array(F.struct(F.array_sort(x).alias("x"), F.array_sort(y).alias("y")))  # bound by transform, so sorted once
+    o = F.get(F.transform(both, merged), F.lit(0)).cast("double")
     p, r = (F.coalesce(F.try_divide(o, F.size(t).cast("double")), F.lit(0.0)) for t in (x, y))
     return F.coalesce(F.round(f1(p, r), 4), F.lit(0.0))
 

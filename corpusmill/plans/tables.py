@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import metrics
+from ..sources.files import ensure_checkpoint_dir
 from . import sql as S  # noqa: F401
 from .registry import query, table
 
@@ -24,7 +26,7 @@ def strategy_scores(spark, sf_dir):
 @query("strategy_distribution", "SELECT coalesce(CASE WHEN value > 20 THEN event_type END, '[missed]') AS strategy, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM events), 2) AS pct FROM events GROUP BY 1")
 def strategy_distribution(spark, sf_dir):
     n = table(spark, sf_dir, "events").groupBy(F.coalesce(F.when(F.col("value") > 20, F.col("event_type")), F.lit("[missed]")).alias("strategy")).agg(F.count("*").alias("n"))
-    return n.join(F.broadcast(n.agg(F.sum("n").alias("t")))).select("strategy", "n", F.round(100.0 * F.col("n") / F.col("t"), 2).alias("pct"))
+    return n.select("strategy", "n", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2).alias("pct"))  # one row for each strategy
 
 
 @query("epoch_iso", "SELECT event_id, strftime(make_timestamp(1700000000000000 + event_id * 61000000), '%Y-%m-%dT%H:%M:%S') AS iso, strftime(make_timestamp(1700000000000000 + event_id * 61000000), '%H:%M') AS clock FROM events")
@@ -40,4 +42,5 @@ def json_path_fields(spark, sf_dir):
 
 @query("quantity_summary", "SELECT l_returnflag, count(l_quantity) AS n, round(avg(CAST(l_quantity AS DOUBLE)), 4) AS mean, CAST(median(CAST(l_quantity AS DOUBLE)) AS DOUBLE) AS median, min(CAST(l_quantity AS DOUBLE)) AS min, max(CAST(l_quantity AS DOUBLE)) AS max FROM lineitem GROUP BY l_returnflag")
 def quantity_summary(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
     return metrics.summary(table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_quantity").cast("double").alias("q")), ["l_returnflag"], "q")

@@ -156,12 +156,6 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_by_alphabet(df: DataFrame, path: str, column: str = "alphabet") -> None:
-    """A folder for each alphabet; `other` is in the whole alone, written beside them."""
-    write_jsonl(df, f"{path}/all")
-    df.where(F.col(column) != "other").write.mode("overwrite").option("ignoreNullFields", "false").partitionBy(column).json(f"{path}/by_alphabet")
-
-
 def write_table(df: DataFrame, path: str, keep: bool = False, force: bool = False) -> None:
     """CSV with a header. keep: an existing table stays as it is; else it is replaced only with force."""
     df.write.mode("ignore" if keep else "overwrite" if force else "error").option("header", "true").csv(path)

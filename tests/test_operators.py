@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators import config, dedup, graph, metrics, social, unify
-from corpusmill.sources import files
+from corpusmill.sources import files, folders
 from corpusmill.streaming import landed
 
 
@@ -98,7 +98,7 @@ def test_folder_with_nested_archives(spark, tmp_path):
 
 def test_sinks_keep_and_refuse(spark, tmp_path):
     df = spark.createDataFrame([(1, "latin"), (2, "other")], "i int, alphabet string")
-    files.write_by_alphabet(df, str(tmp_path / "o"))
+    folders.write_by_alphabet(df, str(tmp_path / "o"))
     assert spark.read.json(str(tmp_path / "o/all")).count() == 2 and spark.read.json(str(tmp_path / "o/by_alphabet")).count() == 1
     files.write_table(df, str(tmp_path / "t"))
     files.write_table(df.limit(0), str(tmp_path / "t"), keep=True)
