@@ -100,10 +100,9 @@ def section(url: Column | str) -> Column:
     return F.when((name != "") & ~name.isin("page", "node"), name)
 
 
-def archive_urls(spark: SparkSession, base: str, year: int, years_back: int = 8) -> DataFrame:
-    """(url): yearly, monthly and first monthly page archives of the years up to year, each once."""
-    years = spark.range(year - years_back, year + 1).select(F.col("id").alias("y"))
-    months = years.select("y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    root = F.concat(F.lit(base.rstrip("/") + "/"), F.col("y").cast("string"), F.lit("/"))
-    monthly = F.concat(root, F.lpad(F.col("m").cast("string"), 2, "0"), F.lit("/"))
-    return years.select(root.alias("url")).unionByName(months.select(F.explode(F.array(monthly, F.concat(monthly, F.lit("page/1/")))).alias("url")))
+def archive_urls(bases: DataFrame, base: str, year: int, years_back: int = 8) -> DataFrame:
+    """(url): of each base address the yearly, monthly and first monthly page archives of the years up to year."""
+    root = F.concat(F.rtrim(base, F.lit("/")), F.lit("/"))
+    years = bases.select(F.explode(F.transform(F.sequence(F.lit(year - years_back), F.lit(year)), lambda y: F.concat(root, y.cast("string"), F.lit("/")))).alias("y"))
+    months = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.transform(F.array(F.lit(""), F.lit("page/1/")), lambda page: F.concat("y", F.lpad(m.cast("string"), 2, "0"), F.lit("/"), page))))
+    return years.select(F.explode(F.concat(F.array("y"), months)).alias("url"))

@@ -96,28 +96,28 @@ ROW = "url string, video_url string, title string, content string, text string,
 
 
 def corpus(spark: SparkSession, folder: str, language: str, sources: tuple[str, ...] = ("news", "social", "wiki", "docs"), platforms: tuple[str, ...] = ("vk", "rutube", "telegram")) -> DataFrame:
-    """The unified corpus of a language from collected rows: news/, social/{posts,comments,rutube,telegram}/, wiki/ and documents/ under a folder, as JSON lines.
+    """The unified corpus of a language from collected rows, JSON lines under a folder where files.COLLECTED says.
 
     Of rows that share an address, or without one a content, the first stays: by source, then by kind of post, then as
     the rows stand in their files. A category may be a string or a list, of which the first counts.
     """
 
-    def read(name: str, category: str = "category variant") -> DataFrame:
-        return files.read_jsonl(spark, f"{folder}/{name}", f"{ROW}, {category}", recursive=True, place="seq")
+    def read(kind: str, category: str = "category variant") -> DataFrame:
+        inside, glob, recursive = files.COLLECTED[kind]
+        return files.read_jsonl(spark, f"{folder}/{inside}", f"{ROW}, {category}", glob=glob, recursive=recursive, place="seq")
 
     want, parts = F.lit(language), []
     if "news" in sources:
         parts.append(("news", unify.unify(read("news"), "news", want)))
     if "social" in sources:
-        comments = read("social/comments").withColumn("url", unify.wall_url("owner_id", "post_id"))
-        rutube = read("social/rutube").withColumn("u", unify.rutube_fields(F.coalesce("content", F.lit("")), "author")).withColumns({"author": F.col("u.author"), "content": F.col("u.content")}).drop("u")
-        known = {"vk": [(read("social/posts"), "social_vk_post"), (comments, "social_vk_comment")], "rutube": [(rutube, "social_rutube")], "telegram": [(read("social/telegram"), "social_telegram")]}
+        comments = read("comments").withColumn("url", unify.wall_url("owner_id", "post_id"))
+        rutube = read("rutube").withColumn("u", unify.rutube_fields(F.coalesce("content", F.lit("")), "author")).withColumns({"author": F.col("u.author"), "content": F.col("u.content")}).drop("u")
+        known = {"vk": [(read("posts"), "social_vk_post"), (comments, "social_vk_comment")], "rutube": [(rutube, "social_rutube")], "telegram": [(read("telegram"), "social_telegram")]}
         parts += [("social", unify.unify(df, kind)) for p in platforms for df, kind in known[p]]
     if "wiki" in sources:
-        rows = read("wiki", "categories array<string>").withColumn("file", F.element_at(F.split("seq.file", "/"), -1))
-        prefix = files.wiki_language(F.col("file"))
-        mine = rows.where(~F.col("file").endswith("_all.jsonl") | (prefix == "") | (prefix == language))
-        parts.append(("wiki", unify.wiki(mine)))
+        rows = read("wiki", "categories array<string>")
+        prefix = files.wiki_language(F.element_at(F.split("seq.file", "/"), -1))
+        parts.append(("wiki", unify.wiki(rows.where((prefix == "") | (prefix == language)))))
     if "docs" in sources:
         parts.append(("document", unify.unify(read("documents"), "document")))
     order = ["source_rank", "part", "seq"]

@@ -86,6 +86,33 @@ def summary(df: DataFrame, group: list[str], value: str) -> DataFrame:
     return simple.join(middle, F.struct(*[simple[g] for g in group]) == F.col("__g")).select(*[simple[g] for g in group], "n", "mean", "median", "min", "max")
 
 
+def benchmark_summary(df: DataFrame, group: list[str], left_out: Column) -> DataFrame:
+    """Over all rows, by the first of group and by all of it: articles, how dates agree with the month in the address, the
+    mean of rouge without the rows left_out, and the share with an author. Rows have x_date, url_ym, rouge, x_author."""
+    month = F.substring("x_date", 1, 7)
+    return df.groupingSets([[], [F.col(group[0])], [F.col(g) for g in group]], *[F.col(g) for g in group]).agg(
+        F.count("*").alias("articles"),
+        F.count_if(F.col("url_ym").isNotNull() & F.col("x_date").isNull()).alias("date_empty"),
+        F.count_if(month == F.col("url_ym")).alias("date_ok"),
+        F.count_if(month != F.col("url_ym")).alias("date_wrong"),
+        F.round(F.avg(F.when(~left_out, F.col("rouge"))), 4).alias("rouge_mean"),
+        F.round(100.0 * F.count("x_author") / F.count("*"), 1).alias("author_pct"),
+    )
+
+
+def coverage(df: DataFrame, group: list[str], names: list[str], columns: dict[str, str] | None = None) -> DataFrame:
+    """Over all rows, by the first of group and by all of it: articles and, for each name, <name>_pct, the share of rows with
+    that column filled; columns says where a name's column is called otherwise."""
+    pct = lambda n: F.round(100.0 * F.count((columns or {}).get(n, n)) / F.count("*"), 1).alias(f"{n}_pct")
+    return df.groupingSets([[], [F.col(group[0])], [F.col(g) for g in group]], *[F.col(g) for g in group]).agg(F.count("*").alias("articles"), *map(pct, names))
+
+
+def found_by(df: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
+    """By group: how often both, only a, only b and neither of two columns are filled."""
+    x, y = F.col(a).isNotNull(), F.col(b).isNotNull()
+    return df.groupBy(*group).agg(F.count_if(x & y).alias("both_found"), F.count_if(x & ~y).alias("only_a"), F.count_if(~x & y).alias("only_b"), F.count_if(~x & ~y).alias("neither"))
+
+
 def f1(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
 

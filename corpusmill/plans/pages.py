@@ -71,15 +71,6 @@ def next_page_url(spark, sf_dir):
     return pages.select("page_id", urls.next_page("url").alias("plain"), urls.next_page(F.concat("url", F.lit("?page=7"))).alias("by_query"), urls.next_page(F.concat(bare, F.lit("/page/4/x"))).alias("by_path"))
 
 
-@query(
-    "archive_urls",
-    """SELECT DISTINCT url FROM (SELECT unnest(['https://a.tj/' || y || '/', 'https://a.tj/' || y || '/' || lpad(CAST(m AS VARCHAR), 2, '0') || '/', 'https://a.tj/' || y || '/' || lpad(CAST(m AS VARCHAR), 2, '0') || '/page/1/']) AS url
-    FROM (SELECT unnest(range(2016, 2025)) AS y), (SELECT unnest(range(1, 13)) AS m))""",
-)
-def archive_urls(spark, sf_dir):
-    return urls.archive_urls(spark, "https://a.tj/", 2024)
-
-
 @query(
     "url_or_hash_dedup",
     f"""WITH r AS (SELECT page_id, regexp_replace(url, '[0-9]+$', '') AS u, substr(sha256({S.domain('url')}), 1, 32) AS h FROM pages),

@@ -26,7 +26,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def _load() -> None:
     """Imports the modules that register queries."""
-    from . import conversations, derived, documents, literals, pages, ranked, tables  # noqa: F401
+    from . import conversations, derived, documents, pages, ranked, reviews, tables  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,7 +8,8 @@ import io
 import tarfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -16,8 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Encodings in the order in which they are tried, extractor types by extension.
-ENCODINGS = ("utf-8", "utf-8-sig", "cp1251", "koi8-r", "cp866", "iso-8859-5", "utf-16", "latin-1")
+ENCODINGS = ("utf-8", "utf-8-sig", "windows-1251", "cp1251", "koi8-r", "cp866", "maccyrillic", "latin-1", "iso-8859-1")
 EXTRACTORS = {"txt": "text", "md": "text", "html": "html", "htm": "html", "json": "text", "csv": "text", "pdf": "pdf", "docx": "docx", "pptx": "pptx", "xlsx": "xlsx", "epub": "ebook", "fb2": "ebook", "png": "image", "jpg": "image", "jpeg": "image"}
+#: Where collected rows of a kind lie under a folder, their files' names, and whether folders inside count.
+COLLECTED = {
+    "news": ("news", "*.jsonl", True), "posts": ("social/posts", "vk_*.jsonl", False), "comments": ("social/comments", "vk_*.jsonl", False), "rutube": ("social", "rutube_*.jsonl", False),
+    "telegram": ("social", "telegram_*.jsonl", False), "wiki": ("wiki", "*_all.jsonl", True), "documents": ("documents", "*.jsonl", False),
+}
 ARCHIVES = ("zip", "tar", "gz", "bz2", "tgz")
 
 
@@ -102,50 +108,70 @@ def decode_text(c: Column | str) -> Column:
     return run(c)
 
 
-def members(name: str, content: bytes, depth: int = 3, most: int = 100 << 20) -> Iterator[tuple[str, bytes]]:
-    """(path, content) of the files in an archive, archives inside included down to a depth; names that leave the archive and files over `most` bytes are left out."""
+#: The most bytes of a file in an archive, and the most files that are taken out of one archive.
+MOST_BYTES, MOST_FILES = 100 << 20, 100_000
 
-    def safe(n: str) -> bool:
-        return not n.startswith(("/", "\\")) and ".." not in n.replace("\\", "/").split("/") and ":" not in n
 
-    low, found = name.lower(), []
+def members(name: str, content: bytes, depth: int = 3, most: int = MOST_BYTES, count: int = MOST_FILES) -> Iterator[tuple[str, bytes | None, str | None]]:
+    """(path, content, why not) of the files in an archive, archives inside included down to a depth.
+
+    Files are read in turn, and never more than `most` bytes of one, whatever its header says. What is left out comes
+    without content and with the reason: names that leave the archive, files over `most` bytes, files after the first
+    `count`, archives below the depth, and an archive that breaks off.
+    """
     try:
-        if low.endswith(".zip"):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                found = [(i.filename, z.read(i)) for i in z.infolist() if not i.is_dir() and i.file_size <= most and safe(i.filename)]
-        elif low.endswith((".tar", ".tgz", ".tar.gz", ".tar.bz2")):
-            with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                found = [(m.name, t.extractfile(m).read()) for m in t if m.isfile() and m.size <= most and safe(m.name)]
-        elif low.endswith((".gz", ".bz2")):
-            inner = (gzip if low.endswith(".gz") else bz2).decompress(content)
-            found = [(name.rsplit("/", 1)[-1].rsplit(".", 1)[0], inner)] if len(inner) <= most else []
-    except (zipfile.BadZipFile, tarfile.TarError, OSError, EOFError):
-        return
-    for n, data in found:
-        if n.lower().rsplit(".", 1)[-1] in ARCHIVES:
-            if depth > 1:
-                yield from ((f"{n}!{inner}", d) for inner, d in members(n, data, depth - 1, most))
-        else:
-            yield n, data
-
-
-def expand_archives(files: DataFrame) -> DataFrame:
-    """Files with archives replaced by their members, path archive!member."""
+        for i, (n, open_) in enumerate(_entries(name, content)):
+            if i >= count:
+                yield n, None, f"over {count} files"
+                return
+            if n.startswith(("/", "\\")) or ".." in n.replace("\\", "/").split("/") or ":" in n:
+                yield n, None, "outside the archive"
+                continue
+            with open_() as f:
+                data = f.read(most + 1)
+            if len(data) > most:
+                yield n, None, f"over {most} bytes"
+            elif n.lower().rsplit(".", 1)[-1] not in ARCHIVES:
+                yield n, data, None
+            elif depth > 1:
+                yield from ((f"{n}!{inner}", d, why) for inner, d, why in members(n, data, depth - 1, most, count))
+            else:
+                yield n, None, "too deep"
+    except (zipfile.BadZipFile, tarfile.TarError, OSError, EOFError, zlib.error, RuntimeError, NotImplementedError) as e:
+        yield name, None, f"broken: {e}"
+
+
+def _entries(name: str, content: bytes) -> Iterator[tuple[str, Callable]]:
+    """(name, opener) of an archive's files."""
+    low = name.lower()
+    if low.endswith(".zip"):
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            yield from ((i.filename, lambda i=i: z.open(i)) for i in z.infolist() if not i.is_dir())
+    elif low.endswith((".tar", ".tgz", ".tar.gz", ".tar.bz2")):
+        with tarfile.open(fileobj=io.BytesIO(content)) as t:
+            yield from ((m.name, lambda m=m: t.extractfile(m)) for m in t if m.isfile())
+    elif low.endswith((".gz", ".bz2")):
+        yield name.rsplit("/", 1)[-1].rsplit(".", 1)[0], lambda: (gzip if low.endswith(".gz") else bz2).open(io.BytesIO(content))
+
+
+def expand_archives(files: DataFrame, left_out: bool = False) -> DataFrame:
+    """Files with archives replaced by their members, path archive!member. left_out: only what was left out, (path, reason)."""
     names = ["path", "extension", "kind", "length", "content"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
-                rows = []
-                for name, data in members(path, content):
+                for name, data, why in members(path, content):  # one file at a time
                     ext = name.lower().rsplit(".", 1)[-1]
-                    if ext in EXTRACTORS:
-                        rows.append((f"{path}!{name}", ext, EXTRACTORS[ext], len(data), data))
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    if left_out and why:
+                        yield pd.DataFrame([(f"{path}!{name}", why)], columns=["path", "reason"])
+                    elif not left_out and data is not None and ext in EXTRACTORS:
+                        yield pd.DataFrame([(f"{path}!{name}", ext, EXTRACTORS[ext], len(data), data)], columns=names)
 
-    inside = files.where(F.col("kind") == "archive").select(*names).mapInPandas(run, "path string, extension string, kind string, length long, content binary")
-    return files.where(F.col("kind") != "archive").select(*names).unionByName(inside)
+    archives = files.where(F.col("kind") == "archive").select(*names)
+    if left_out:
+        return archives.mapInPandas(run, "path string, reason string")
+    return files.where(F.col("kind") != "archive").select(*names).unionByName(archives.mapInPandas(run, "path string, extension string, kind string, length long, content binary"))
 
 
 # --- sinks -----------------------------------------------------------------------------------------------------
@@ -178,3 +204,8 @@ def file_statistics(spark: SparkSession, path: str, glob: str = "*") -> DataFram
 def output_name(site: str, day: str, what: str = "articles") -> str:
     """The name under which a site's rows of a day are kept."""
     return f"{site}_{day}_{what}.jsonl"
+
+
+def corpus_name(language: str, stamp: str) -> str:
+    """The name of a corpus of a language built at a time, YYYYMMDD_HHMMSS."""
+    return f"corpus_{language}_{stamp}.jsonl"

@@ -80,8 +80,9 @@ class KeyedStore:
 
     def cached(self, rows: DataFrame, make: Callable[[DataFrame], DataFrame], retry: str | None = None) -> DataFrame:
         """The store's rows for the keys of rows, after make() has made those that are missing; make gives rows of the store, errors included."""
+        asked = rows.select(self.key).distinct().checkpoint()  # rows may depend on what the store has now
         self.upsert(make(self.missing(rows, retry=retry)))
-        return self.table().join(rows.select(self.key).distinct(), self.key, "left_semi")
+        return self.table().join(asked, self.key, "left_semi")
 
     def compact(self) -> None:
         """Current rows as a new generation, and older ones removed once it is whole."""

@@ -74,12 +74,15 @@ def test_corpus_of_collected_rows(spark, tmp_path):
     put(tmp_path / "news/s.jsonl", {"url": "u1", "title": " T ", "content": "news text"})
     put(tmp_path / "social/posts/vk_a_posts.jsonl", {"url": "u1", "content": "later source"}, {"url": "u2", "content": "post", "language": "ba"})
     put(tmp_path / "social/comments/vk_a_comments.jsonl", {"owner_id": -1, "post_id": 7, "content": "comment"})
-    put(tmp_path / "social/rutube/rutube_x.jsonl", {"video_url": "v", "content": "Ali\n2 days ago\nFine"})
+    put(tmp_path / "social/posts/other.jsonl", {"url": "no", "content": "not a file of posts"})
+    put(tmp_path / "social/telegram_x.jsonl", {"url": "tg", "content": "channel"})
+    put(tmp_path / "social/rutube_x.jsonl", {"video_url": "v", "content": "Ali\n2 days ago\nFine"})
     put(tmp_path / "wiki/ttwiki-latest_all.jsonl", {"url": "w", "title": "W", "text": "article", "categories": ["One", "Two"]})
     put(tmp_path / "wiki/bawiki-latest_all.jsonl", {"url": "w2", "title": "W2", "text": "other language"})
     put(tmp_path / "documents/d.jsonl", {"content": "a document"}, {"content": "a document"})
     rows = {r.url or r.content: r for r in jobs.corpus(spark, str(tmp_path), "tt").collect()}
-    assert set(rows) == {"u1", "u2", "https://vk.com/wall-1_7", "v", "w", "a document"}
+    assert set(rows) == {"u1", "u2", "https://vk.com/wall-1_7", "v", "w", "a document", "tg"}
+    assert rows["tg"].source_type == "social_telegram"
     assert rows["u1"].source_type == "news" and rows["u1"].title == "T" and rows["u2"].language == "ba" and rows["v"].author == "Ali" and rows["v"].content == "Fine"
     assert (rows["w"].category, rows["w"].language, rows["w"].content) == ("One", "tt", "article")
     assert {r.source_type for r in jobs.corpus(spark, str(tmp_path), "tt", ("wiki",)).collect()} == {"wiki"}

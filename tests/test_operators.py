@@ -96,6 +96,34 @@ def test_folder_with_nested_archives(spark, tmp_path):
     assert got == {"plain.txt": "plain", "pack.tar!a.zip!deep.txt": "inner", "pack.tar!b.txt": "Привет"}
 
 
+def test_what_archives_leave_out_is_said(spark, tmp_path):
+    import gzip
+
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("big.txt", b"0" * 5000)
+        z.writestr("small.txt", b"1" * 10)
+        z.writestr("/abs.txt", b"2")
+    bomb = gzip.compress(b"0" * 5000)
+    found = {n: (None if d is None else len(d), why) for n, d, why in files.members("a.zip", inner.getvalue(), most=1000)}
+    assert found == {"big.txt": (None, "over 1000 bytes"), "small.txt": (10, None), "/abs.txt": (None, "outside the archive")}
+    assert [(n, d, w) for n, d, w in files.members("b.txt.gz", bomb, most=1000)] == [("b.txt", None, "over 1000 bytes")]
+    assert [w for _, _, w in files.members("a.zip", inner.getvalue(), count=1)] == [None, "over 1 files"]
+    assert [w for _, _, w in files.members("c.zip", b"no archive")][0].startswith("broken") and [w for _, _, w in files.members("c.gz", bomb[:40])][0].startswith("broken")
+    deep = inner.getvalue()
+    for i in range(4):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr(f"l{i}.zip", deep)
+        deep = out.getvalue()
+    (name, _, why) = next(files.members("deep.zip", deep))
+    assert why == "too deep" and name.count("!") == 2
+    (tmp_path / "a.zip").write_bytes(inner.getvalue())
+    rows = files.expand_archives(files.read_folder(spark, f"file:{tmp_path}"), left_out=True).collect()
+    assert [(r.path.rsplit("/", 1)[-1], r.reason) for r in rows] == [("abs.txt", "outside the archive")]
+    assert files.corpus_name("tt", "20240101_000000") == "corpus_tt_20240101_000000.jsonl" and len(files.ENCODINGS) == 9
+
+
 def test_sinks_keep_and_refuse(spark, tmp_path):
     df = spark.createDataFrame([(1, "latin"), (2, "other")], "i int, alphabet string")
     folders.write_by_alphabet(df, str(tmp_path / "o"))
