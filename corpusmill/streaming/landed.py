@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.store import KeyedStore
+
 
 def read_jsonl_stream(spark: SparkSession, path: str, schema: str, per_trigger: int = 1000) -> DataFrame:
     """New JSON lines under a folder; broken lines are left out."""
@@ -23,17 +25,15 @@ def counts_by_window(stream: DataFrame, at: str, group: str, length: str = "1 ho
     return stream.withWatermark(at, late).groupBy(F.window(at, length).alias("w"), group).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), group, "n")
 
 
-def resume(stream: DataFrame, target: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Appends rows whose key the target doesn't have yet; batches that run again add nothing."""
+def resume(stream: DataFrame, target: str, checkpoint: str, key: str, buckets: int = 64) -> StreamingQuery:
+    """Adds rows whose key the target, a keyed store, doesn't have yet; batches that run again add nothing.
+
+    A batch is shuffled to the store's buckets; the store itself, however large, isn't.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
 
     def add(batch: DataFrame, _: int) -> None:
-        spark, new = batch.sparkSession, batch.dropDuplicates([key])
-        try:
-            done = spark.read.schema(batch.schema).parquet(target).select(key)
-            new = new.join(done, key, "left_anti")
-        except Exception as e:  # the target is not there before the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        new.write.mode("append").parquet(target)
+        store = KeyedStore(batch.sparkSession, target, schema, key, buckets)
+        store.upsert(store.missing(batch))
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as X
 from corpusmill.operators import config, dedup, graph, metrics, social, unify
 from corpusmill.sources import files, folders
+from corpusmill.sources.store import KeyedStore
 from corpusmill.streaming import landed
 
 
@@ -189,8 +190,10 @@ def test_streams(spark, tmp_path):
     assert sorted(r.url for r in spark.table("firsts").collect()) == ["u", "v"]
     assert sorted((r.url, r.n) for r in spark.table("counts").collect()) == [("u", 2), ("v", 1)]
     for _ in range(2):
-        landed.resume(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "url").awaitTermination(60)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+        landed.resume(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "url", 4).awaitTermination(60)
+    landed.resume(stream, str(tmp_path / "out"), str(tmp_path / "cp2"), "url", 4).awaitTermination(60)  # every batch again
+    store = KeyedStore(spark, str(tmp_path / "out"), "url string, n long, at timestamp", "url", 4)
+    assert sorted(r.url for r in store.versions().collect()) == ["u", "v"] == sorted(r.url for r in store.table().collect())
 
 
 def test_one_document_of_items_and_file_statistics(spark, tmp_path):
