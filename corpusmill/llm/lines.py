@@ -210,7 +210,8 @@ def drop_repeated(docs: DataFrame, least: int = 20, copies: int = 3, max_bits: i
 
     schema = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("row", pa.binary())])
     lines = cut(over_batches(rows, find, schema, "digest binary, doc_id long, row binary"))
-    confirmed = lines.select("digest", "doc_id").distinct().groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= copies)
+    counted = lines.select("digest", "doc_id").distinct().groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+    confirmed = cut(counted.where(F.col("n") >= copies).select("digest", "last"))  # read anew, so that the join may split a line that very many hold
     lost = lines.join(confirmed, "digest").where(F.coalesce(F.col("doc_id") < F.col("last"), F.lit(True)))
     dropped = lost.groupBy("row").agg(F.collect_set("digest").alias("gone"))  # a text's own lines at most
 
