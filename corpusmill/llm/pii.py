@@ -36,9 +36,11 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
+#: What stands for the sign in an address that is spelled out.
+AT = r"@|[\[(] ?(?:at|AT) ?[\])]| at | AT "
 #: Candidate generators, named by kind; several may propose the same digits. KINDS is the order of the spans.
 WIDE = {
-    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++ ?(?:@|[\[(] ?(?:at|AT) ?[\])]| at | AT ) ?{HOST}++(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]| dot | DOT ) ?{HOST}++)++",
+    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++ ?(?:{AT}) ?{HOST}++(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]| dot | DOT ) ?{HOST}++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}(?![0-9])",
     "phone": r"(?<![0-9.])\(?[0-9]{2,5}\)?(?:[ .-]?[0-9]{2,5}){2,5}(?![0-9])",
@@ -56,7 +58,7 @@ CUES = {
     5: "order|invoice|version|isbn|ref|serial|sku|ticket|page|total|price|tracking|build|item|code|nr|time|score",
 }
 FEATURES = ["kind", "digits", "seps", "groups", "luhn", "cue", "before", "after", "len", "kinds_of_digits", "lead", "at"]
-SAMPLES, TREES, DEPTH, RATE, PRECISION = 4_000, 40, 3, 0.3, 0.97
+SAMPLES, TREES, DEPTH, RATE, PRECISION = 12_000, 40, 3, 0.3, 0.97
 #: Elements that a scan gathers at a time, characters of the segments of texts, and those kept before a candidate.
 STEP, SEGMENT, CONTEXT = 128, 4096, 28
 SPAN = "struct<s:int,e:int,t:string,b:string,a:string>"
@@ -121,7 +123,7 @@ NEEDS = {
     "phone": "contains(text, '+') and digit",
 }
 WIDE_NEEDS = {
-    "email": "contains(lower(text), 'dot') or contains(text, '@')",
+    "email": f"regexp_like(text, {raw(AT)})",  # a part of the pattern itself
     "ip": "digit and contains(text, ':')",
     "card": "digit",
     "phone": "digit",
@@ -147,7 +149,7 @@ def features_sql() -> str:
       'len', least(x.e - x.s, 80),
       'kinds_of_digits', size(array_distinct(split({d}, ''))),
       'lead', case when substring(x.t, 1, 1) = '0' then 1 when substring(x.t, 1, 1) = '(' then 2 when substring(x.t, 1, 1) in ('3', '4', '5', '6') then 3 else 0 end,
-      'at', case when regexp_like(lower(x.t), r'[\\[(] ?(at|dot) ?[\\])]') then 2 when contains(lower(x.t), ' dot ') then 1 else 0 end)"""
+      'at', case when regexp_like(lower(x.t), r'[\\[(] ?(at|dot) ?[\\])]') or contains(x.t, ' DOT ') then 2 when contains(lower(x.t), ' dot ') then 1 else 0 end)"""
 
 
 def clear_of_base() -> str:
@@ -185,10 +187,10 @@ def sample(rng: random.Random) -> tuple[str, int, int, int]:
     before, after = "", ""
     truth = KINDS.index(("email", "phone", "card", "card", "iban", "ssn", "ip", "phone")[kind]) if kind < 8 else -1
     if kind == 0:
-        a, b = rng.choice([(" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), (" (at) ", ".")])
+        a, b = rng.choice([(" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), (" (at) ", "."), (" AT ", " DOT ")])
         span, before = f"{name()}.{name()}{a}{name()}{b}com", cue(4) if rng.random() < 0.5 else ""
     elif kind == 1:
-        span, before = rng.choice([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", f"0{d(3)} {d(7)}", f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"]), cue(1) if rng.random() < 0.7 else ""
+        span, before = rng.choice([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", f"0{d(rng.randint(2, 4))} {d(rng.randint(5, 8))}", f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"]), cue(1) if rng.random() < 0.7 else ""
     elif kind == 2:
         span, before = sep.join([d(4), d(4), d(4), d(4)]) if rng.random() < 0.4 else d(16), cue(2) if rng.random() < 0.5 else ""
     elif kind == 3:
@@ -201,7 +203,7 @@ def sample(rng: random.Random) -> tuple[str, int, int, int]:
     elif kind == 6:
         span = ":".join("".join(rng.choices("0123456789abcdef", k=rng.randint(1, 4))) for _ in range(8))
     elif kind == 7:
-        span, before = f"{d(3)} {d(3)} {d(4)}", cue(1)
+        span, before = f"{d(3)} {d(3)} {d(rng.randint(3, 4))}", cue(1)
     elif kind == 8:
         span, before = rng.choice([d(rng.randint(6, 14)), f"{d(4)}-{d(6)}"]), cue(5)
     elif kind == 9:
