@@ -45,9 +45,11 @@ class WordCache(WordIds):
     """A word is what stands between spaces and line feeds: the tokenizer never joins characters over white space.
 
     A word of letters with ASCII punctuation after it is taken as its letters and its punctuation, which the
-    tokenizer splits too.
+    tokenizer splits too. Words learned anew cost most, so more are remembered than elsewhere.
     """
 
+    MOST, MOST_CHARS = 1_000_000, 16 << 20
+
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

@@ -6,8 +6,6 @@ from itertools import chain
 
 import numpy as np
 
-#: Words, and characters of words, that a worker remembers before it starts anew.
-REMEMBER, REMEMBER_CHARS = 400_000, 6 << 20
 #: Words whose ids are put together at once.
 RUN = 1 << 17
 
@@ -15,6 +13,9 @@ RUN = 1 << 17
 class WordIds:
     """A subclass says how a text splits into words whose ids do not depend on their neighbours, and learns new words."""
 
+    #: Words, and characters of words, that a worker remembers before it starts anew.
+    MOST, MOST_CHARS = 400_000, 6 << 20
+
     def __init__(self):
         self.forget()
 
@@ -57,7 +58,7 @@ class WordIds:
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin, with the end of the last)."""
-        if len(self.index) > REMEMBER or self.chars > REMEMBER_CHARS:
+        if len(self.index) > self.MOST or self.chars > self.MOST_CHARS:
             self.forget()
         at, counts = self.places(texts)
         size = self.size[at]
