@@ -132,6 +132,12 @@ def date_lenient_parse(spark, sf_dir):
     return made(spark, sf_dir, "documents", ["doc_id"], value=DATES).where("doc_id % 7 < 6").select("doc_id", dates.parsed("value").alias("parsed"))
 
 
+@query("date_lenient_whole")
+def date_lenient_whole(spark, sf_dir):
+    """date_lenient_parse on all rows, those with free text too, which SQL can't read as leniently."""
+    return made(spark, sf_dir, "documents", ["doc_id"], value=DATES).select("doc_id", "value", dates.parsed("value").alias("parsed"))
+
+
 TITLE = f"{W1} || ' ' || {W2}"
 NAMESPACE = case("doc_id", "0", "NULL", "0", "1")
 BODY = case(

@@ -73,3 +73,29 @@ def test_page_queries_give_each_page_what_a_loop_gives(spark, sf_dir):
     assert {(r.page_id, r.gold_len) for r in run("html_gold_body", spark, sf_dir)} == {(i, len(f["gold"])) for i, f in facts.items()}
     scores = run("html_strategy_scores", spark, sf_dir)
     assert {(r.field, r.strategy) for r in scores} >= {("title", "selectors"), ("author", "meta_tag"), ("date", "json_ld")} and all(r.attempts == len(pages) for r in scores)
+
+
+def test_lenient_dates_of_all_rows(spark, sf_dir):
+    import re
+    from datetime import datetime
+
+    from dateutil import parser
+
+    months = dict(zip("января февраля марта апреля мая июня июля августа сентября октября ноября декабря".split(), "January February March April May June July August September October November December".split()))
+
+    def plain(value):
+        t = " ".join((value or "").split())
+        if not t:
+            return None
+        if m := re.fullmatch(r"(\d{4}-\d\d-\d\d)(?:[T ](\d\d:\d\d)(?::(\d\d))?)?(Z|[+-]\d\d:\d\d)?", t):
+            return f"{m[1]}T{m[2] + ':' + (m[3] or '00') if m[2] else '00:00:00'}{(m[4] or '').replace('Z', '+00:00')}"
+        for a, b in months.items():
+            t = t.replace(a, b)
+        try:
+            return parser.parse(t, fuzzy=True, ignoretz=True, dayfirst=True, default=datetime(2024, 1, 1)).isoformat()
+        except (ValueError, OverflowError):
+            return t
+
+    rows = registry.queries()["date_lenient_whole"](spark, sf_dir).collect()
+    assert len(rows) == 200 and {r.doc_id % 7 for r in rows} == set(range(7))
+    assert [r.parsed for r in rows] == [plain(r.value) for r in rows]
