@@ -229,5 +229,5 @@ def crawl_frontier(spark, sf_dir):
     def links(pages):
         return pages.join(link_table(pages.sparkSession, sf_dir), F.col("url") == F.col("src")).select(host("dst"), F.col("dst").alias("url"), "depth")
 
-    frontier.Crawl(spark, folder, seeds, lambda batch: batch, links, frontier.Frontier(max_depth=4, max_pages=1 << 30)).until_quiet()
+    frontier.Crawl(spark, folder, seeds, lambda batch: batch, links, frontier.Frontier(max_depth=4, max_pages=1 << 30), partitions=spark.sparkContext.defaultParallelism).until_quiet()
     return frontier.visited(spark, folder).select("url", "depth")

@@ -82,10 +82,12 @@ class Crawl:
     folder holds links/, pages/ and the stream's state; a crawl started on the same folder goes on where it stopped.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, seeds: DataFrame, fetch: Visit, links: Visit, frontier: Frontier | None = None, every: str = "200 milliseconds"):
+    def __init__(self, spark: SparkSession, folder: str, seeds: DataFrame, fetch: Visit, links: Visit, frontier: Frontier | None = None, every: str = "200 milliseconds", partitions: int | None = None):
         self.folder, self.fetch, self.links, self.last, self.at = folder, fetch, links, -1, time.time()
         own = spark.newSession()
         own.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+        if partitions:  # of the state, which keeps the number that it began with
+            own.conf.set("spark.sql.shuffle.partitions", partitions)
         if not _there(own, f"{folder}/links/seeds/_SUCCESS"):
             seeds.select("host", "url", F.lit(0).alias("depth")).write.mode("overwrite").parquet(f"{folder}/links/seeds")
         stream = own.readStream.schema(LINK).option("recursiveFileLookup", "true").parquet(f"{folder}/links")
