@@ -32,9 +32,12 @@ class WordIds:
         self.flat, self.n_flat = np.empty(1 << 16, np.uint32), 0
         self.start, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
+    def remembered(self) -> int:
+        return len(self.index)
+
     def append(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
         """Remembers words by how many ids each has and all their ids in a row."""
-        base, total = len(self.index), len(flat)
+        base, total = self.remembered(), len(flat)
         while base + len(words) > len(self.start):
             self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
         while self.n_flat + total > len(self.flat):
@@ -58,7 +61,7 @@ class WordIds:
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin, with the end of the last)."""
-        if len(self.index) > self.MOST or self.chars > self.MOST_CHARS:
+        if self.remembered() > self.MOST or self.chars > self.MOST_CHARS:
             self.forget()
         at, counts = self.places(texts)
         size = self.size[at]
