@@ -58,6 +58,10 @@ def exact_duplicates(df: DataFrame, group: list[str], text: str = "text", least:
 # --- near duplicates by MinHash ----------------------------------------------------------------------------------
 
 
+#: Values of permutations that are made at once.
+CELLS = 1 << 14
+
+
 def _shingle_hashes(text: str, width: int) -> np.ndarray:
     """Hashes of the distinct shingles of a text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -70,19 +74,35 @@ def _shingle_hashes(text: str, width: int) -> np.ndarray:
 
 
 def _bands(texts: pd.Series, bands: int, rows: int, width: int) -> list[np.ndarray | None]:
-    """MinHash values under bands * rows affine permutations, hashed by band. A text's cost is one pass for each permutation."""
+    """MinHash values under bands * rows affine permutations, hashed by band. A text's cost is one pass for each permutation.
+
+    Permutations go some at a time through a table that stays in the processor's cache, and only the least values are
+    shifted, since shifting keeps their order.
+    """
     rng = np.random.default_rng(1)
     a = rng.integers(1, 2**63, bands * rows, dtype=np.uint64) | np.uint64(1)
     b = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
     mix = rng.integers(1, 2**63, rows, dtype=np.uint64) | np.uint64(1)
     out: list[np.ndarray | None] = []
+    room = np.empty(CELLS, np.uint64)
+    least = np.empty(bands * rows, np.uint64)
     with np.errstate(over="ignore"):
         for t in texts:
             if t is None or len(t) < width:
                 out.append(None)
                 continue
             h = _shingle_hashes(t, width)
-            least = np.array([((h * x + y) >> np.uint64(8)).min() for x, y in zip(a, b)], np.uint64)
+            least[:] = np.iinfo(np.uint64).max
+            for lo in range(0, len(h), CELLS):
+                part = h[lo : lo + CELLS]
+                some = max(1, CELLS // len(part))
+                for i in range(0, len(a), some):
+                    at = slice(i, i + some)
+                    cells = room[: len(a[at]) * len(part)].reshape(-1, len(part))
+                    np.multiply(a[at, None], part, out=cells)
+                    cells += b[at, None]
+                    least[at] = np.minimum(least[at], cells.min(1))
+            least >>= np.uint64(8)
             out.append((least.reshape(bands, rows) * mix).sum(1, dtype=np.uint64).view(np.int64))
     return out
 
